@@ -40,7 +40,7 @@ _SILVER = {
           FROM raw_customers)""",
     "lines": """
         SELECT *, QUANTIDADE * VALOR_UNITARIO AS VALOR_TOTAL, year(DATA_PEDIDO) AS ANO,
-          month(DATA_PEDIDO) AS MES, CASE WHEN month(DATA_PEDIDO) <= 6 THEN 1 ELSE 2 END AS SEMESTRE
+          month(DATA_PEDIDO) AS MES, CAST(CASE WHEN month(DATA_PEDIDO) <= 6 THEN 1 ELSE 2 END AS BIGINT) AS SEMESTRE
         FROM (
           SELECT CAST(COD_CLIENTE AS BIGINT) AS ID_CLIENTE, CAST(COD_PEDIDO AS BIGINT) AS ID_PEDIDO,
             CAST(CODIGO_PRODUTO AS BIGINT) AS ID_PRODUTO, upper(trim(DEPTO)) AS DEPARTAMENTO,
@@ -62,8 +62,15 @@ _SILVER = {
 def _with(select: str, *layers: dict[str, str]) -> str:
     ctes = {name: sql for layer in layers for name, sql in layer.items()}
     body = ", ".join(f"{name} AS ({sql})" for name, sql in ctes.items())
-    # STRING is a type name in both engines; the mapping is shared as it stands.
-    return f"WITH {body} {select}" if ctes else select
+    return f"WITH {body} {select}"
+
+
+def stage_sql(select: str) -> str:
+    return _with(select, _STAGE)
+
+
+def raw_sql(select: str) -> str:
+    return _with(select, _STAGE, _RAW)
 
 
 def _silver(select: str) -> str:
@@ -216,6 +223,7 @@ _LOGGED = {
     "silver.pedido": "SELECT * FROM lines",
     **{f"gold.{table}": GOLD[key] for table, key in _GOLD_NAMES.items()},
 }
+_TWO_RESULTS = ("gold.cancelamento_por_departamento", "gold.crescimento_base_clientes")
 _ORIGINS = (
     "CASE TABELA WHEN 'raw_cadastro' THEN 'GCS:CADASTROS.csv'"
     " WHEN 'raw_pedido' THEN 'GCS:PEDIDOS.csv'"
@@ -244,8 +252,8 @@ def _log_of_two_loads(tables: list[str]) -> str:
 def oracle_sql() -> dict[str, str]:
     unnamed = ", ".join(f"CAST(NULL AS VARCHAR) AS string_field_{n}" for n in range(9, 13))
     return {
-        "stage_customers": _with(f"SELECT *, {unnamed} FROM stg_customers", _STAGE),
-        "stage_orders": _with("SELECT * FROM stg_orders", _STAGE),
+        "stage_customers": stage_sql(f"SELECT *, {unnamed} FROM stg_customers"),
+        "stage_orders": stage_sql("SELECT * FROM stg_orders"),
         "raw_customers": _with(
             _raw(_CUSTOMER_NAMES, "raw_customers", "GCS:CADASTROS.csv", FIRST), _STAGE, _RAW
         ),
@@ -259,6 +267,13 @@ def oracle_sql() -> dict[str, str]:
         "silver_orders": _silver(_SILVER_ORDERS),
         **{key: _silver(sql) for key, sql in GOLD.items()},
         "run_log": _log_of_two_loads(["raw_cadastro", "raw_pedido"]),
+        "log_newest_first": _silver(
+            "SELECT CAST(n AS BIGINT) AS ID_RODADA, DATA_RODADA, TABELA, QTD_INCLUIDO,"
+            " 'silver' AS ORIGEM, 'SUCESSO' AS STATUS"
+            f" FROM ({_counts({t: s for t, s in _LOGGED.items() if t in _TWO_RESULTS})})"
+            f" JOIN (VALUES (1, '{FIRST}', '{_TWO_RESULTS[0]}'), (2, '{SECOND}', '{_TWO_RESULTS[1]}'))"
+            " AS v(n, DATA_RODADA, TABELA) USING (TABELA)"
+        ),
         "run_medallion": _silver(
             f"SELECT TABELA, QTD_INCLUIDO, {_ORIGINS} AS ORIGEM, 'SUCESSO' AS STATUS"
             f" FROM ({_counts(_LOGGED)})"

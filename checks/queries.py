@@ -16,11 +16,13 @@ from checks.mapping import (
     stage_orders,
     with_unnamed,
 )
+from checks.operators import OPERATORS
+from checks.setup import new_lake
 from ordstrata.operators.history import content_id, latest_load
 from ordstrata.plans import gold
 from ordstrata.plans.medallion import create_history, load_raw, run_medallion
 from ordstrata.plans.raw import raw_customers, raw_orders
-from ordstrata.plans.run_log import read_log
+from ordstrata.plans.run_log import LogEntry, append_log, read_log
 from ordstrata.plans.silver import silver_customers, silver_orders
 from ordstrata.schemas import (
     CUSTOMER_COLUMNS,
@@ -30,7 +32,6 @@ from ordstrata.schemas import (
     names,
 )
 from ordstrata.session import scratch_folder
-from ordstrata.sinks.tables import Lake
 from ordstrata.sources.delimited import read_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,11 +65,6 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_orders(order_load(spark, sf_dir))
 
 
-def new_lake(spark: SparkSession) -> Lake:
-    folder = scratch_folder(spark)
-    return Lake(spark, folder, namespace=folder.rsplit("/", 1)[-1].replace("-", "_"))
-
-
 def write_files(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, str]:
     """The two source files as delimited text."""
     customers_path, orders_path = f"{folder}/files/customers", f"{folder}/files/orders"
@@ -114,6 +110,21 @@ def logged_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_log(lake))
 
 
+def newest_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log of the rows of two result tables, newest first."""
+    lake = new_lake(spark)
+    create_history(lake)
+    lines, people = order_lines(spark, sf_dir), customers(spark, sf_dir)
+    results = {
+        "cancelamento_por_departamento": gold.cancellation_rate(lines),
+        "crescimento_base_clientes": gold.base_growth(people),
+    }
+    for at, (table, rows) in zip((FIRST_LOAD, SECOND_LOAD), results.items()):
+        written = lake.replace("gold", table, rows)
+        append_log(lake, [LogEntry(f"gold.{table}", written, "silver")], at)
+    return portable(read_log(lake)).drop("OBSERVACAO")
+
+
 def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     paths = write_files(spark, sf_dir, lake.root)
@@ -147,5 +158,7 @@ def queries() -> dict[str, Query]:
         "gold_retention": _gold(lambda o, c: gold.retention(o, c, RULES.years)),
         "gold_base_growth": _gold(lambda o, c: gold.base_growth(c)),
         "run_log": logged_loads,
+        "log_newest_first": newest_log_rows,
         "run_medallion": whole_job,
+        **{key: query for key, (query, _) in OPERATORS.items()},
     }

@@ -51,4 +51,4 @@ def range_bucket(value: Column, boundaries: Sequence[int]) -> Column:
 
 def generate_array(start: int, stop: int, step: int = 1) -> Column:
     """Array of whole numbers, both ends included."""
-    return F.sequence(F.lit(start), F.lit(stop), F.lit(step))
+    return F.sequence(*[F.lit(n).cast("bigint") for n in (start, stop, step)])

@@ -20,9 +20,12 @@ def keep_listed(value: Column, listed: Sequence) -> Column:
 
 
 def members_only(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key occurs among ``keys``. A semi-join never multiplies rows, so the keys need
-    not be made distinct."""
-    return rows.join(keys.select(on), on, "left_semi")
+    """Rows whose key occurs among ``keys``.
+
+    The keys are made distinct for the shuffle, not for the result: each task sends a frequent key
+    once, over the same exchange that the join needs anyway.
+    """
+    return rows.join(keys.select(on).distinct(), on, "left_semi")
 
 
 def with_dimension(
