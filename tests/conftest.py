@@ -16,7 +16,11 @@ def spark():
         "tests",
         "local[8]",
         8,
-        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
