@@ -136,6 +136,14 @@ def _gold(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(order_lines(spark, sf_dir), customers(spark, sf_dir))
 
 
+def _of_orders(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(order_lines(spark, sf_dir))
+
+
+def _of_customers(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(customers(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "stage_customers": file_stage_customers,
@@ -149,14 +157,14 @@ def queries() -> dict[str, Query]:
         "gold_avg_ticket_month": _gold(gold.avg_ticket_month),
         "gold_purchase_interval": _gold(gold.purchase_interval),
         "gold_monthly_tiers": _gold(lambda o, c: gold.monthly_tiers(o, c, RULES.tier_limits)),
-        "gold_category_yoy": _gold(
-            lambda o, c: gold.category_yoy(o, RULES.categories, RULES.years)
+        "gold_category_yoy": _of_orders(
+            lambda o: gold.category_yoy(o, RULES.categories, RULES.years)
         ),
-        "gold_cancellation_rate": _gold(lambda o, c: gold.cancellation_rate(o)),
-        "gold_weekday_volume": _gold(lambda o, c: gold.weekday_volume(o)),
+        "gold_cancellation_rate": _of_orders(gold.cancellation_rate),
+        "gold_weekday_volume": _of_orders(gold.weekday_volume),
         "gold_optin_impact": _gold(gold.optin_impact),
         "gold_retention": _gold(lambda o, c: gold.retention(o, c, RULES.years)),
-        "gold_base_growth": _gold(lambda o, c: gold.base_growth(c)),
+        "gold_base_growth": _of_customers(gold.base_growth),
         "run_log": logged_loads,
         "log_newest_first": newest_log_rows,
         "run_medallion": whole_job,

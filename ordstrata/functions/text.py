@@ -18,6 +18,9 @@ WORD_BREAKS = '[](){}/|\\<>!?@"^#$&~_,.:;*%+-'
 # U+FFFF is no character, so text cannot hold it.
 _MARK = "\uffff "
 
+# Text without word breaks other than the space, as most names are.
+_PLAIN_WORDS = r"^[A-Za-z0-9 '\u00c0-\u00ff]*+$"
+
 
 def trim_ws(text: Column) -> Column:
     """Strip every kind of Unicode whitespace, where plain ``trim`` strips the space alone.
@@ -48,11 +51,12 @@ def initcap_words(text: Column) -> Column:
     """Upper-case the first letter of each word and lower-case the rest.
 
     ``initcap`` alone starts words at spaces only. A marked space is put behind every other word
-    break for it and taken out again afterwards.
+    break for it and taken out again afterwards, where the text holds any.
     """
     breaks = "".join(f"\\u{ord(c):04x}" for c in WORD_BREAKS + WHITESPACE if c != " ")
     spaced = F.regexp_replace(text, f"([{breaks}])", f"$1{_MARK}")
-    return F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))
+    broken = F.replace(F.initcap(spaced), F.lit(_MARK), F.lit(""))
+    return F.when(text.rlike(_PLAIN_WORDS), F.initcap(text)).otherwise(broken)
 
 
 def all_digits(text: Column) -> Column:

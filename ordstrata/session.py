@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # What the plans rely on: strict casts, one time zone, run-time re-planning with skew splitting.
+# HotSpot never compiles methods above 8,000 bytes of code, so larger fused stages run unfused.
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -15,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
