@@ -328,6 +328,14 @@ class GoldTable:
     comment: str
     cluster_by: tuple[str, ...] = ()
     by_year: bool = False
+    order_by: str | None = None
+    ascending: bool = True
+
+    def ordered(self, rows: DataFrame) -> DataFrame:
+        """Rows in the order of the report; the stored table has no order."""
+        if self.order_by is None:
+            return rows
+        return rows.orderBy(self.order_by, ascending=self.ascending)
 
 
 GOLD_TABLES = {
@@ -360,13 +368,19 @@ GOLD_TABLES = {
         "Change of category sales between two years",
     ),
     "cancelamento_por_departamento": GoldTable(
-        lambda o, c, rules: cancellation_rate(o), "Cancellations per department"
+        lambda o, c, rules: cancellation_rate(o),
+        "Cancellations per department",
+        order_by="PCT_CANCELAMENTO",
+        ascending=False,
     ),
     "pedidos_por_dia_semana": GoldTable(
-        lambda o, c, rules: weekday_volume(o), "Confirmed orders per weekday"
+        lambda o, c, rules: weekday_volume(o), "Confirmed orders per weekday", order_by="NUM_DIA"
     ),
     "impacto_permissao_email": GoldTable(
-        lambda o, c, rules: optin_impact(o, c), "Purchases by consent to e-mail"
+        lambda o, c, rules: optin_impact(o, c),
+        "Purchases by consent to e-mail",
+        order_by="TICKET_MEDIO",
+        ascending=False,
     ),
     "retencao_clientes": GoldTable(
         lambda o, c, rules: retention(o, c, rules.years), "Customers kept between two years"

@@ -99,6 +99,23 @@ def load_gold(lake: Lake, load_ts: dt.datetime, rules: Rules = Rules()) -> None:
     _logged(lake, load_ts, {f"gold.{name}": ("silver", writer(name)) for name in GOLD_TABLES})
 
 
+def read_result(lake: Lake, name: str) -> DataFrame:
+    """A result table in the order of its report."""
+    return GOLD_TABLES[name].ordered(lake.table("gold", name))
+
+
+def remove_old_versions(lake: Lake) -> None:
+    """Delete what earlier runs left of the replaced tables, except their current versions."""
+    replaced = {
+        "stage": ["stg_cadastro", "stg_pedido"],
+        "silver": ["cadastro", "pedido"],
+        "gold": GOLD_TABLES,
+    }
+    for layer, tables in replaced.items():
+        for table in tables:
+            lake.remove_old_versions(layer, table)
+
+
 def run_medallion(
     lake: Lake,
     customers_path: str,
@@ -110,8 +127,11 @@ def run_medallion(
     """Run all layers for one delivery of the two files and return the log, newest rows first.
 
     Run again with the same ``load_ts`` after a failure: the load is replaced, not added twice.
+    The versions before the current one are deleted first, so that two remain: the one that was
+    current, for queries still reading it, and the new one. One run at a time.
     """
     load_ts = load_ts or dt.datetime.now(dt.timezone.utc)
+    remove_old_versions(lake)
     create_history(lake)
     load_stage(lake, customers_path, orders_path)
     load_raw(lake, load_ts)

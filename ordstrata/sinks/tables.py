@@ -104,6 +104,22 @@ class Lake:
         found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)} ('place')")
         return found.first()["value"]
 
+    def remove_old_versions(self, layer: str, table: str) -> int:
+        """Delete the versions of a replaced table other than the current one, and return how many.
+
+        Not for use while another run writes the table, or for versions that are still read.
+        """
+        if not self.spark.catalog.tableExists(self.name(layer, table)):
+            return 0
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        current = path_of(self.place(layer, table))
+        files = current.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [status.getPath() for status in files.listStatus(current.getParent())]
+        old = [path for path in found if path.getName() != current.getName()]
+        for path in old:
+            files.delete(path, True)
+        return len(old)
+
     def bucketed(
         self, layer: str, table: str, bucket_by: tuple[str, Sequence[int]], values: Sequence[int]
     ) -> DataFrame:

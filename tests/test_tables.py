@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.mapping import AS_OF, RULES
 from checks.queries import write_files
 from ordstrata.plans import medallion, run_log
+from ordstrata.plans.gold import Rules
 from ordstrata.schemas import RAW_CUSTOMERS, RUN_LOG, STAGE_CUSTOMERS
 from ordstrata.sinks.tables import BUCKET_COLUMN, LOAD_COLUMN
 from ordstrata.sources.delimited import read_delimited, write_delimited
@@ -54,6 +55,25 @@ def test_replace_keeps_the_old_version_until_the_new_one_is_whole(spark, lake):
     assert values(lake.table("silver", "t")) == [(0,), (1,)]
 
 
+def test_old_versions_are_removed_on_request(spark, lake):
+    assert lake.remove_old_versions("gold", "t") == 0
+    for n in range(1, 4):
+        lake.replace("gold", "t", spark.range(n))
+    assert lake.remove_old_versions("gold", "t") == 2
+    assert lake.remove_old_versions("gold", "t") == 0
+    assert lake.table("gold", "t").count() == 3
+
+
+def test_results_are_read_in_report_order(spark, lake):
+    rates = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "D string, PCT_CANCELAMENTO double")
+    lake.replace("gold", "cancelamento_por_departamento", rates)
+    found = medallion.read_result(lake, "cancelamento_por_departamento").collect()
+    assert [r.D for r in found] == ["b", "c", "a"]
+    lake.replace("gold", "pedidos_por_dia_semana", spark.range(5, 0, -1).toDF("NUM_DIA"))
+    found = medallion.read_result(lake, "pedidos_por_dia_semana").collect()
+    assert [r.NUM_DIA for r in found] == [1, 2, 3, 4, 5]
+
+
 def test_descriptions(spark, lake):
     lake.replace("stage", "t", spark.createDataFrame([], STAGE_CUSTOMERS), "it's text")
     lake.create("raw", "h", RAW_CUSTOMERS, "history", LOAD_COLUMN)
@@ -78,7 +98,7 @@ def test_bucketed_and_clustered_table(spark, lake):
         (2017 + F.col("id") % 11).alias("ANO"), (F.col("id") * 7 % 500).alias("K"), "id"
     )
     years = years.union(spark.sql("SELECT CAST(NULL AS BIGINT), 1L, -1L"))
-    layout = ("ANO", RULES.year_boundaries[:0] + (2019, 2020, 2021, 2022, 2023, 2024, 2025))
+    layout = ("ANO", Rules.year_boundaries)
     assert lake.replace("gold", "t", years, "", ["K"], layout) == 2001
     assert values(lake.table("gold", "t")) == values(years)
     assert lake.table("gold", "t").columns == ["ANO", "K", "id"]
@@ -145,6 +165,8 @@ def test_whole_job_twice(spark, lake, sf_dir):
     paths = write_files(spark, sf_dir, lake.root)
     for at in (FIRST, SECOND):
         log = medallion.run_medallion(lake, *paths, load_ts=at, as_of=AS_OF, rules=RULES)
+    for layer, table in (("silver", "pedido"), ("gold", "tiers_clientes"), ("stage", "stg_pedido")):
+        assert lake.remove_old_versions(layer, table) == 1
     rows = log.collect()
     assert [r.ID_RODADA for r in rows] == list(range(28, 0, -1))
     assert {r.STATUS for r in rows} == {"SUCESSO"}
@@ -164,6 +186,16 @@ def test_whole_job_twice(spark, lake, sf_dir):
     assert counts["gold.intervalo_medio_compras"] == 254
 
 
+def test_job_entry_point(spark, sf_dir, tmp_path, capsys):
+    from ordstrata import job
+
+    paths = write_files(spark, sf_dir, str(tmp_path))
+    names = ["--root", str(tmp_path / "lake"), "--customers", paths[0], "--orders", paths[1]]
+    job.main([*names, "--namespace", "entry", "--load-ts", "2024-01-01T00:00:00+00:00", "--as-of", "2024-01-01"])
+    assert spark.table("entry_gold.tiers_clientes").count() == 442
+    assert "gold.tiers_clientes" in capsys.readouterr().out
+
+
 def test_failed_step_is_logged_and_raised(spark, lake, tmp_path):
     medallion.create_history(lake)
     bad = ("x", "e", "n", "d", "s", "c", "c", "e", "1", FIRST, "o", "u")
