@@ -284,12 +284,11 @@ def pivot_and_safe_divide(spark, sf_dir):
         .agg(F.round(F.sum("price"), 2).alias("v"))
     )
     sides = aggregates.pivot_sums(yearly, ["o_custkey"], "year", "v", {_Y1: "a", _Y2: "b"})
-    change = numbers.safe_divide((F.col("b") - F.col("a")) * 100, F.col("a"))
     return sides.select(
         "o_custkey",
         F.col("a").cast("double").alias("total_1"),
         F.col("b").cast("double").alias("total_2"),
-        numbers.rounded(change, 2).alias("pct"),
+        numbers.percent_change(F.col("a"), F.col("b"), 2).alias("pct"),
     )
 
 

@@ -43,6 +43,16 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
+def percent_change(before: Column, after: Column, places: int) -> Column:
+    """Change in per cent of two sums with two decimals; NULL where it starts from zero.
+
+    The operands are cut to 24 digits, which leaves the quotient 14 decimals: wider ones leave 6,
+    too few to round from.
+    """
+    change = (F.lit(100) * (after - before)).cast("decimal(24,2)")
+    return rounded(safe_divide(change, before.cast("decimal(24,2)")), places)
+
+
 def range_bucket(value: Column, boundaries: Sequence[int]) -> Column:
     """How many of the ascending boundaries are at or below the value; NULL for NULL."""
     passed = [F.when(value >= F.lit(b), 1).otherwise(0) for b in boundaries]

@@ -20,7 +20,7 @@ from ordstrata.functions.dates import (
     weekday_number,
     year_of,
 )
-from ordstrata.functions.numbers import percent, ratio, rounded, safe_divide
+from ordstrata.functions.numbers import percent, percent_change, ratio, rounded
 from ordstrata.functions.text import year_half, year_month
 from ordstrata.operators.aggregates import (
     any_where,
@@ -190,7 +190,7 @@ def category_yoy(
         F.col(first).cast("double").alias(first),
         F.col(second).cast("double").alias(second),
         rounded(change, 2).alias("VARIACAO_ABSOLUTA"),
-        rounded(safe_divide(change * 100, F.col(first)), 2).alias("VARIACAO_PERCENTUAL"),
+        percent_change(F.col(first), F.col(second), 2).alias("VARIACAO_PERCENTUAL"),
     )
 
 

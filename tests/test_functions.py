@@ -100,6 +100,18 @@ def test_safe_divide(spark):
     assert mapped(spark, [4, 0, None], lambda x: numbers.safe_divide(F.lit(8), x), "int") == [2.0, None, None]
 
 
+def test_percent_change_is_rounded_once(spark):
+    """18674.27 / 417302.15 is 4.4749997 %, which six decimals would round up to 4.475."""
+
+    def change(after):
+        before = F.lit("417302.15").cast("decimal(37,2)")
+        return numbers.percent_change(before, after.cast("decimal(37,2)"), 2)
+
+    assert mapped(spark, ["398627.88", "417302.15", None], change) == [-4.47, 0.0, None]
+    zero = F.lit(0).cast("decimal(37,2)")
+    assert mapped(spark, ["1.00"], lambda x: numbers.percent_change(zero, numbers.money(x), 2)) == [None]
+
+
 def test_range_bucket(spark):
     bounds = [2019, 2020, 2021, 2022, 2023, 2024, 2025]
     given = [2018, 2019, 2024, 2025, 2030, None]
