@@ -4,7 +4,8 @@
   it. Readers see the old or the new version, never a half-written one, and a query may replace
   the table it reads. A job that loses executors or fails leaves the old version in place.
 * ``append_load`` writes one partition per load. Repeating a load replaces its partition, so that
-  a retried job does not add the rows twice.
+  a retried job does not add the rows twice. The folder names hold the load time in the session's
+  time zone, which must stay the same (``build_session`` sets UTC).
 """
 
 from __future__ import annotations
