@@ -20,6 +20,9 @@ RADIUS = 19
 ERRORS = 1
 LANES = 3  # 16-bit components in a long, so that its sign bit stays free
 PACKED = [f"s{i}" for i in range(COMPONENTS // LANES)]
+SKETCH_BITS = 1024
+SKETCH = [f"o{i}" for i in range(SKETCH_BITS // 64)]
+MOST_SENT = 200_000  # ids of at most this number are sent to all tasks, more are shuffled
 ODD = np.random.default_rng(7).integers(1, 2**63, COMPONENTS + 3, dtype=np.uint64) | np.uint64(1)
 
 
@@ -65,9 +68,18 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """1024 bits, each the parity of the number of members that fall on it. Members that two sets
+    share cancel out, so the bits in which two sketches differ are no more than the members in
+    which the sets differ."""
+    fallen = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
+
+
 def signed(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, set size, a 128-bit name of the set, and the packed signature of every row."""
-    names = ["doc_id", "n_shingles", "set_a", "set_b", *PACKED]
+    """doc_id, set size, a 128-bit name of the set, the packed signature and the sketch of every
+    row."""
+    names = ["doc_id", "n_shingles", "set_a", "set_b", *PACKED, *SKETCH]
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(n)
@@ -75,6 +87,7 @@ def signed(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             sizes, sets = [], []
             packed = np.zeros((len(batch), len(PACKED)), np.int64)
+            sketch = np.zeros((len(batch), len(SKETCH)), np.int64)
             for i, text in enumerate(batch.text):
                 shingles = shingle(text)
                 sizes.append(len(shingles))
@@ -83,8 +96,9 @@ def signed(docs: DataFrame, n: int) -> DataFrame:
                 if len(shingles):
                     parts = signature(shingles).astype(np.int64).reshape(-1, LANES)
                     packed[i] = (parts << shifts).sum(axis=1)
+                    sketch[i] = odd_sketch(shingles)
             a, b = zip(*sets) if sets else ((), ())
-            columns = [batch.doc_id.astype("Int64"), sizes, a, b, *packed.T]
+            columns = [batch.doc_id.astype("Int64"), sizes, a, b, *packed.T, *sketch.T]
             yield pd.DataFrame(dict(zip(names, columns)))
 
     schema = ", ".join(f"{c} long" for c in names)
@@ -126,14 +140,21 @@ def distance(left: str, right: str) -> Column:
 
 
 def may_link(left: str, right: str, percent: int) -> Column:
+    """Signatures are within the radius, and neither the sizes nor the sketches rule a link out:
+    sets that share ``percent`` of their union differ in at most (100 - percent) / (100 + percent)
+    of their summed sizes."""
     a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
     sizes = 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    return sizes & (distance(left, right) <= RADIUS)
+    apart = [F.bit_count(F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))) for c in SKETCH]
+    sketches = (100 + percent) * reduce(add, apart) <= (100 - percent) * (a + b)
+    return sizes & sketches & (distance(left, right) <= RADIUS)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets have ``percent`` of their union in common."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    if ids.count() <= MOST_SENT:
+        ids = F.broadcast(ids)
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
 
     def shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,8 +218,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
     Rows of equal sets become one class, grouped with partial minima, so copies cost no pairs. The
     MinHash signature of a class has 48 components of 16 bits. Signatures within 19 differing
     components surely share a key (:func:`chunks`); a pair at the similarity threshold is further
-    apart with a probability of 1e-5. Candidates are compared by signature and set size, then
-    confirmed on the whole sets, in two passes:
+    apart with a probability of 1e-5. Candidates are compared by signature, set size and a sketch
+    that never refuses a link, then confirmed on the whole sets, in two passes:
 
     1. each class with the nearest first class of its keys: at most one pair per class;
     2. only within keys that still hold classes of different components: all pairs of different
@@ -219,7 +240,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
         .agg(
             F.min("doc_id").alias("id"),
             F.first("n_shingles").alias("n_shingles"),
-            *(F.first(c).alias(c) for c in PACKED),
+            *(F.first(c).alias(c) for c in [*PACKED, *SKETCH]),
         )
     )
     keyed = stored(chunk_keys(classes))
