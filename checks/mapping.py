@@ -18,6 +18,7 @@ RULES = Rules(
     tier_limits=(30000, 75000, 150000),
     year_boundaries=(1996, 1997, 1998, 1999, 2000, 2001),
 )
+CUSTOMER_FILE, ORDER_FILE = "customers", "orders"
 AS_OF = dt.date(2024, 1, 1)
 FIRST_LOAD = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 SECOND_LOAD = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)

@@ -224,11 +224,13 @@ def inner_join_dimension(spark, sf_dir):
   GROUP BY o.o_custkey, c_name""")
 def three_way_join(spark, sf_dir):
     orders = _orders(spark, sf_dir)
-    members = orders.filter(F.col("o_orderstatus") == "P")
-    kept = lookups.members_only(orders, members, "o_custkey").groupBy("o_custkey")
+    status = F.col("o_orderstatus")
+    counted = orders.groupBy("o_custkey").agg(
+        aggregates.rows_counted().alias("n"), aggregates.any_where(status == "P").alias("member")
+    )
+    counted = counted.filter("member").drop("member")
     known = read_table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
     known = known.withColumnRenamed("c_custkey", "o_custkey")
-    counted = kept.agg(aggregates.rows_counted().alias("n"))
     return lookups.with_dimension(counted, known, "o_custkey", ["c_name"], ["n"])
 
 

@@ -225,8 +225,8 @@ _LOGGED = {
 }
 _TWO_RESULTS = ("gold.cancelamento_por_departamento", "gold.crescimento_base_clientes")
 _ORIGINS = (
-    "CASE TABELA WHEN 'raw_cadastro' THEN 'GCS:CADASTROS.csv'"
-    " WHEN 'raw_pedido' THEN 'GCS:PEDIDOS.csv'"
+    "CASE TABELA WHEN 'raw_cadastro' THEN 'customers'"
+    " WHEN 'raw_pedido' THEN 'orders'"
     " ELSE CASE WHEN TABELA LIKE 'silver%' THEN 'raw' ELSE 'silver' END END"
 )
 
@@ -255,13 +255,13 @@ def oracle_sql() -> dict[str, str]:
         "stage_customers": stage_sql(f"SELECT *, {unnamed} FROM stg_customers"),
         "stage_orders": stage_sql("SELECT * FROM stg_orders"),
         "raw_customers": _with(
-            _raw(_CUSTOMER_NAMES, "raw_customers", "GCS:CADASTROS.csv", FIRST), _STAGE, _RAW
+            _raw(_CUSTOMER_NAMES, "raw_customers", "customers", FIRST), _STAGE, _RAW
         ),
         "raw_orders": _with(
-            _raw(_ORDER_NAMES, "raw_orders", "GCS:PEDIDOS.csv", FIRST), _STAGE, _RAW
+            _raw(_ORDER_NAMES, "raw_orders", "orders", FIRST), _STAGE, _RAW
         ),
         "latest_load": _with(
-            _raw(_CUSTOMER_NAMES, "raw_customers", "GCS:CADASTROS.csv", SECOND), _STAGE, _RAW
+            _raw(_CUSTOMER_NAMES, "raw_customers", "customers", SECOND), _STAGE, _RAW
         ),
         "silver_customers": _silver(_SILVER_CUSTOMERS),
         "silver_orders": _silver(_SILVER_ORDERS),

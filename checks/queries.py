@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from checks.mapping import (
     AS_OF,
+    CUSTOMER_FILE,
     FIRST_LOAD,
+    ORDER_FILE,
     RULES,
     SECOND_LOAD,
     stage_customers,
@@ -49,12 +51,12 @@ def portable(rows: DataFrame) -> DataFrame:
 
 def customer_load(spark: SparkSession, sf_dir: str, load_ts=FIRST_LOAD) -> DataFrame:
     row_id = content_id(*names(CUSTOMER_COLUMNS))
-    return raw_customers(stage_customers(spark, sf_dir), load_ts, row_id=row_id)
+    return raw_customers(stage_customers(spark, sf_dir), load_ts, CUSTOMER_FILE, row_id)
 
 
 def order_load(spark: SparkSession, sf_dir: str, load_ts=FIRST_LOAD) -> DataFrame:
     row_id = content_id(*names(ORDER_COLUMNS))
-    return raw_orders(stage_orders(spark, sf_dir), load_ts, row_id=row_id)
+    return raw_orders(stage_orders(spark, sf_dir), load_ts, ORDER_FILE, row_id)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +108,7 @@ def logged_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.replace("stage", "stg_cadastro", with_unnamed(stage_customers(spark, sf_dir)))
     lake.replace("stage", "stg_pedido", stage_orders(spark, sf_dir))
     for load_ts in (FIRST_LOAD, SECOND_LOAD):
-        load_raw(lake, load_ts)
+        load_raw(lake, load_ts, CUSTOMER_FILE, ORDER_FILE)
     return portable(read_log(lake))
 
 
@@ -129,7 +131,8 @@ def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark)
     paths = write_files(spark, sf_dir, lake.root)
     log = run_medallion(lake, *paths, load_ts=FIRST_LOAD, as_of=AS_OF, rules=RULES)
-    return log.select("TABELA", "QTD_INCLUIDO", "ORIGEM", "STATUS")
+    origin = F.substring_index("ORIGEM", "/", -1).alias("ORIGEM")
+    return log.select("TABELA", "QTD_INCLUIDO", origin, "STATUS")
 
 
 def _gold(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:

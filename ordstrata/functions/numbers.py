@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+MONEY = "decimal(28,9)"
 
 
 def whole(text: Column) -> Column:
@@ -16,8 +16,14 @@ def whole(text: Column) -> Column:
 
 
 def money(text: Column) -> Column:
-    """Strict decimal number: other text fails the job (ANSI mode)."""
-    return text.cast(MONEY)
+    """Strict decimal number with every digit given: other text fails the job (ANSI mode), and so
+    does a number with more than nine decimals, which would lose some."""
+    wide = text.cast("decimal(38,18)")
+    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*[1-9])", 1))
+    lost = (decimals > 9) | (wide != wide.cast(MONEY))
+    return F.when(lost, F.raise_error(F.concat(F.lit("more than nine decimals: "), text))).otherwise(
+        wide.cast(MONEY)
+    )
 
 
 def rounded(value: Column, places: int) -> Column:
@@ -26,7 +32,7 @@ def rounded(value: Column, places: int) -> Column:
 
 
 def _exact(value: Column) -> Column:
-    return value.cast("decimal(28,4)")
+    return value.cast("decimal(33,9)")
 
 
 def ratio(numerator: Column, denominator: Column, places: int) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ordstrata.plans.medallion import run_medallion
 from ordstrata.session import build_session
 from ordstrata.sinks.tables import Lake
@@ -32,7 +34,9 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session("ordstrata", shuffle_partitions=given.shuffle_partitions)
     lake = Lake(spark, given.root, given.namespace)
     log = run_medallion(lake, given.customers, given.orders, given.load_ts, given.as_of)
-    log.show(14, truncate=False)
+    run = log.filter(F.col("DATA_RODADA") == log.agg(F.max("DATA_RODADA")).scalar())
+    for row in run.collect():  # one per table written
+        print(*row, sep=" | ")
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def literal_relation(spark: SparkSession, values: Sequence, name: str) -> DataFrame:
@@ -22,10 +23,11 @@ def keep_listed(value: Column, listed: Sequence) -> Column:
 def members_only(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key occurs among ``keys``.
 
-    The keys are made distinct for the shuffle, not for the result: each task sends a frequent key
-    once, over the same exchange that the join needs anyway.
+    Both sides meet in plain shuffles, so that adaptive execution can split a frequent key; a
+    distinct between shuffle and join would prevent it. Give keys that are distinct already where
+    they are many.
     """
-    return rows.join(keys.select(on).distinct(), on, "left_semi")
+    return rows.join(keys.select(on), on, "left_semi")
 
 
 def with_dimension(
@@ -47,4 +49,11 @@ def with_dimension(
     merged = dimension.groupBy(on, *attributes).agg(F.count(F.lit(1)).alias(copies))
     factor = F.coalesce(F.col(copies), F.lit(1).cast("bigint"))
     joined = totals.join(merged, on, how)
-    return joined.withColumns({c: F.col(c) * factor for c in additive}).drop(copies)
+
+    def multiplied(name: str) -> Column:
+        if not isinstance(totals.schema[name].dataType, T.DecimalType):
+            return F.col(name) * factor
+        # Types whose product keeps all nine decimals; a sum beyond them fails.
+        return F.col(name).cast("decimal(28,9)") * factor.cast("decimal(9,0)")
+
+    return joined.withColumns({c: multiplied(c) for c in additive}).drop(copies)

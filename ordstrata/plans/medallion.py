@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -15,6 +16,9 @@ from ordstrata.schemas import RAW_CUSTOMERS, RAW_ORDERS, STAGE_CUSTOMERS, STAGE_
 from ordstrata.sinks.tables import LOAD_COLUMN, Lake
 from ordstrata.sources.delimited import read_delimited
 
+STEPS_AT_ONCE = 4
+EMPTY = "no rows"
+
 
 def load_stage(lake: Lake, customers_path: str, orders_path: str) -> None:
     """Files to the stage tables, as text; each run replaces them."""
@@ -32,24 +36,36 @@ def create_history(lake: Lake) -> None:
 
 
 def _logged(lake: Lake, at: dt.datetime, steps: dict[str, tuple[str, Callable[[], int]]]) -> None:
-    """Run steps that each write a table, and log them together; a failed step is logged too."""
-    entries = []
+    """Run independent steps that each write a table, a few at a time, and log them together.
+
+    Every step is tried. Failed ones are logged too, then the first failure is raised; trouble with
+    the log itself does not hide it.
+    """
+    errors = []
+
+    def tried(step: tuple[str, tuple[str, Callable[[], int]]]) -> LogEntry:
+        table, (origin, write) = step
+        try:
+            rows = write()
+        except Exception as error:
+            errors.append(error)
+            return LogEntry(table, None, origin, FAILURE, str(error))
+        return LogEntry(table, rows, origin, note=None if rows else EMPTY)
+
+    with ThreadPoolExecutor(STEPS_AT_ONCE) as pool:
+        entries = list(pool.map(tried, steps.items()))
     try:
-        for table, (origin, write) in steps.items():
-            try:
-                entries.append(LogEntry(table, write(), origin))
-            except Exception as error:
-                entries.append(LogEntry(table, None, origin, FAILURE, str(error)))
-                raise
-    finally:
         append_log(lake, entries, at)
+    finally:
+        if errors:
+            raise errors[0]
 
 
 def load_raw(
     lake: Lake,
     load_ts: dt.datetime,
-    customers_origin: str = "GCS:CADASTROS.csv",
-    orders_origin: str = "GCS:PEDIDOS.csv",
+    customers_origin: str,
+    orders_origin: str,
 ) -> None:
     """Stage tables to one more load of the history tables."""
 
@@ -134,7 +150,7 @@ def run_medallion(
     remove_old_versions(lake)
     create_history(lake)
     load_stage(lake, customers_path, orders_path)
-    load_raw(lake, load_ts)
+    load_raw(lake, load_ts, customers_path, orders_path)
     load_silver(lake, load_ts, as_of)
     load_gold(lake, load_ts, rules)
     return read_log(lake)

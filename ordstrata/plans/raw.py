@@ -13,7 +13,7 @@ from ordstrata.schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS, names
 def raw_customers(
     stage: DataFrame,
     load_ts: dt.datetime,
-    origin: str = "GCS:CADASTROS.csv",
+    origin: str,
     row_id: Column | None = None,
 ) -> DataFrame:
     """Customers with an id, without the unnamed file columns, plus provenance."""
@@ -24,7 +24,7 @@ def raw_customers(
 def raw_orders(
     stage: DataFrame,
     load_ts: dt.datetime,
-    origin: str = "GCS:PEDIDOS.csv",
+    origin: str,
     row_id: Column | None = None,
 ) -> DataFrame:
     """Order lines with a customer id, plus provenance."""

@@ -77,26 +77,38 @@ class Lake:
 
         ``bucket_by`` names a whole-number column and its range boundaries: each range becomes a
         partition folder, values outside the ranges share one below and one above, none is lost.
-        ``cluster_by`` arranges the rows by further columns inside it.
+        Inside it each value has a folder, so a filter on the column reads its files only.
+        ``cluster_by`` arranges the rows by further columns inside; without it a frequent value is
+        spread over files by a hash of the row.
         """
         schema = rows.schema
         keys = list(cluster_by)
         if bucket_by:
             column, boundaries = bucket_by
             rows = rows.withColumn(BUCKET_COLUMN, range_bucket(F.col(column), boundaries))
-            keys = [BUCKET_COLUMN, *keys]
+            keys = [BUCKET_COLUMN, column, *(keys or [F.xxhash64(*schema.names)])]
         if keys:
             rows = arranged(rows, keys)
         place = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
         written = Observation()
         writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
         if bucket_by:
-            writer = writer.partitionBy(BUCKET_COLUMN)
+            writer = writer.partitionBy(BUCKET_COLUMN, column)
         writer.parquet(place)
+        if bucket_by and not written.get["rows"]:
+            # Without a partition there is no file; one without rows holds the columns.
+            self.spark.createDataFrame([], rows.schema).write.mode("append").parquet(place)
+        # The type of a partition column is read off its folders.
+        shown = [
+            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+            if bucket_by and f.name == bucket_by[0]
+            else f"`{f.name}`"
+            for f in schema
+        ]
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} ({_column_list(schema, False)})"
             f" COMMENT {_quoted(comment)} TBLPROPERTIES ('place' = {_quoted(place)})"
-            f" AS SELECT {', '.join(f'`{c}`' for c in schema.names)} FROM parquet.`{place}`"
+            f" AS SELECT {', '.join(shown)} FROM parquet.`{place}`"
         )
         return written.get["rows"]
 
@@ -167,7 +179,8 @@ class Lake:
     def append_load(self, layer: str, table: str, rows: DataFrame, load_ts: dt.datetime) -> int:
         """Write one load of a history table and return how many rows it has.
 
-        ``rows`` holds the table's columns by name, the load time among them or not.
+        ``rows`` holds the table's columns by name, the load time among them or not. A load
+        without rows leaves no partition, so the newest load is the newest with rows.
         """
         load = load_ts.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f UTC")
         columns = [c for c in self.table(layer, table).columns if c != LOAD_COLUMN]
@@ -178,6 +191,11 @@ class Lake:
             f" PARTITION (`{LOAD_COLUMN}` = TIMESTAMP '{load}') SELECT * FROM {{load_rows}}",
             load_rows=load_rows,
         )
+        if not written.get["rows"]:
+            self.spark.sql(
+                f"ALTER TABLE {self.name(layer, table)}"
+                f" DROP IF EXISTS PARTITION (`{LOAD_COLUMN}` = TIMESTAMP '{load}')"
+            )
         return written.get["rows"]
 
     def latest(self, layer: str, table: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Edge tables for the column expressions."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import DateTimeException, NumberFormatException
@@ -85,7 +86,7 @@ def test_strict_casts_fail(spark):
 
 def test_money_keeps_its_digits(spark):
     values = mapped(spark, ["1.005", "-1.50", "0", "99999999999999.9999"], numbers.money)
-    assert [str(v) for v in values] == ["1.0050", "-1.5000", "0.0000", "99999999999999.9999"]
+    assert values == [Decimal(x) for x in ("1.005", "-1.50", "0", "99999999999999.9999")]
 
 
 def test_ratio_rounds_halves_away_from_zero(spark):
@@ -127,3 +128,11 @@ def test_tier_limits_belong_to_the_upper_tier(spark):
     given = ["0", "999.99", "1000", "1999.99", "2000", "4999.99", "5000"]
     names = mapped(spark, given, lambda x: tier(numbers.money(x), (1000, 2000, 5000)))
     assert names == ["Básico", "Básico", "Prata", "Prata", "Ouro", "Ouro", "Super"]
+
+
+def test_money_keeps_every_digit(spark):
+    given = ["0.00004", "0.123456789", "12.5000000000000", "7", None]
+    found = mapped(spark, given, lambda x: numbers.money(x).cast("string"))
+    assert found == ["0.000040000", "0.123456789", "12.500000000", "7.000000000", None]
+    with pytest.raises(Exception, match="more than nine decimals"):
+        mapped(spark, ["0.1234567891"], numbers.money)

@@ -27,16 +27,16 @@ def order(**fields):
 
 def customers(spark, *rows, as_of=dt.date(2024, 1, 1)):
     stage = spark.createDataFrame([customer(**r) for r in rows], STAGE_CUSTOMERS)
-    return silver_customers(raw_customers(stage, LOAD), as_of)
+    return silver_customers(raw_customers(stage, LOAD, "file"), as_of)
 
 
 def orders(spark, *rows):
-    return silver_orders(raw_orders(spark.createDataFrame([order(**r) for r in rows], STAGE_ORDERS), LOAD))
+    return silver_orders(raw_orders(spark.createDataFrame([order(**r) for r in rows], STAGE_ORDERS), LOAD, "file"))
 
 
 def test_raw_columns(spark):
-    assert raw_customers(spark.createDataFrame([], STAGE_CUSTOMERS), LOAD).columns == names(RAW_CUSTOMERS)
-    assert raw_orders(spark.createDataFrame([], STAGE_ORDERS), LOAD).columns == names(RAW_ORDERS)
+    assert raw_customers(spark.createDataFrame([], STAGE_CUSTOMERS), LOAD, "file").columns == names(RAW_CUSTOMERS)
+    assert raw_orders(spark.createDataFrame([], STAGE_ORDERS), LOAD, "file").columns == names(RAW_ORDERS)
 
 
 def test_customer_rules(spark):

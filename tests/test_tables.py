@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from checks.mapping import AS_OF, RULES
+from checks.mapping import AS_OF, FIRST_LOAD, RULES, SECOND_LOAD
 from checks.queries import write_files
 from ordstrata.plans import medallion, run_log
 from ordstrata.plans.gold import Rules
@@ -202,6 +203,59 @@ def test_failed_step_is_logged_and_raised(spark, lake, tmp_path):
     lake.append_load("raw", "raw_cadastro", spark.createDataFrame([bad], RAW_CUSTOMERS), FIRST)
     with pytest.raises(PySparkException):
         medallion.load_silver(lake, FIRST)
-    [row] = run_log.read_log(lake).collect()
-    assert (row.TABELA, row.STATUS, row.QTD_INCLUIDO) == ("silver.cadastro", "ERRO", None)
+    found = {row.TABELA: row for row in run_log.read_log(lake).collect()}
+    assert found["silver.pedido"].STATUS == "SUCESSO"  # the other step is tried all the same
+    row = found["silver.cadastro"]
+    assert (row.STATUS, row.QTD_INCLUIDO) == ("ERRO", None)
     assert "CAST_INVALID_INPUT" in row.OBSERVACAO
+
+
+def test_quotes_are_doubled_and_backslashes_are_plain(spark, tmp_path):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    rows = ['1;"Ana ""Nina"" Sa";x', '1;"tela 14""";z', '1;"C:\\";z', '1;"a;b";""', "1;;y"]
+    (tmp_path / "f.csv").write_bytes("\n".join(["a;b;c", *rows]).encode())
+    read = read_delimited(spark, str(tmp_path), schema)
+    found = [r.b for r in read.collect()]
+    assert found == ['Ana "Nina" Sa', 'tela 14"', "C:\\", "a;b", None]
+    write_delimited(read, str(tmp_path / "again"))
+    again = read_delimited(spark, str(tmp_path / "again"), schema)
+    assert sorted(map(str, again.collect())) == sorted(map(str, read.collect()))
+
+
+def test_an_empty_load_is_not_the_newest(spark, lake):
+    schema = "x bigint, DT_CARGA timestamp"
+    lake.create("raw", "h", spark.createDataFrame([], schema).schema, partition_by="DT_CARGA")
+    rows = spark.range(3).withColumnRenamed("id", "x")
+    assert lake.append_load("raw", "h", rows, FIRST_LOAD) == 3
+    assert lake.append_load("raw", "h", rows.limit(0), SECOND_LOAD) == 0
+    assert lake.latest("raw", "h").count() == 3
+
+
+def test_an_empty_bucketed_result_and_a_pruned_year(spark, lake):
+    rows = spark.sql("SELECT id AS k, CAST(2018 + id % 4 AS bigint) AS ANO FROM range(100)")
+    rows = rows.union(spark.sql("SELECT 100L, CAST(NULL AS bigint)"))
+    layout = ("ANO", (2019, 2020))
+    assert lake.replace("gold", "t", rows.limit(0), bucket_by=layout) == 0
+    assert lake.table("gold", "t").schema.simpleString() == rows.schema.simpleString()
+    assert lake.table("gold", "t").count() == 0
+    assert lake.bucketed("gold", "t", layout, [2019]).count() == 0
+    assert lake.replace("gold", "t", rows, bucket_by=layout) == 101
+    table = lake.table("gold", "t")
+    assert sorted(table.collect(), key=str) == sorted(rows.collect(), key=str)
+    picked = spark.sql(f"SELECT k FROM {lake.name('gold', 't')} WHERE ANO = 2020")
+    assert picked.count() == 25
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "ANO" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_every_step_is_tried(spark, lake):
+    medallion.create_history(lake)
+
+    def fails():
+        raise ValueError("no")
+
+    steps = {"a": ("x", fails), **{f"t{i}": ("x", lambda: 1) for i in range(9)}}
+    with pytest.raises(ValueError, match="no"):
+        medallion._logged(lake, FIRST_LOAD, steps)
+    states = [r.STATUS for r in lake.table("raw", "log_rodadas").collect()]
+    assert sorted(states) == ["ERRO"] + ["SUCESSO"] * 9
