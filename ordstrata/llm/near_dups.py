@@ -299,7 +299,9 @@ def without_near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``docs`` with all columns and one document of each component; of rows that share a doc_id
     one stays, rows without doc_id all stay."""
     verdicts = stored(near_duplicates(docs, n, percent))
-    dropped = verdicts.filter(~F.col("kept")).select("doc_id").distinct()
+    dropped = stored(verdicts.filter(~F.col("kept")).select("doc_id").distinct())
+    if dropped.count() <= MOST_SENT:
+        dropped = F.broadcast(dropped)
     repeated = verdicts.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1")
     left = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
     if repeated.isEmpty():
