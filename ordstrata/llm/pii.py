@@ -291,8 +291,10 @@ def train(docs: DataFrame, sample: int = 400, most_stretches: int = 300) -> Span
         for texts in batches:
             yield texts.map(lambda t: [x for _, x in islands(t) if len(x) <= MOST_CHARS][:50])
 
-    sampled = docs.filter(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
-    sampled = sampled.orderBy("h", "text").limit(sample)
+    signed = docs.filter(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
+    # Only hashes are sorted; texts are read again below the last of them.
+    last = signed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    sampled = signed.filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).orderBy("h")
     rows = sampled.select(F.pandas_udf(stretches, "array<string>")("text").alias("found")).collect()
     shapes = {re.sub("[^\\W_]", "a", x): x for row in rows for x in row.found}
     texts = [(x, set(base_spans(x))) for x in list(shapes.values())[:most_stretches]]
