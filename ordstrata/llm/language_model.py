@@ -262,7 +262,7 @@ def score_texts(
     pairs = stored(pair_counts(seen, classes))
     probabilities = gibbs(pairs, size, burn_in, samples, strength)
     table, unknown = rare_tokens(counts, classes, samples, strength)
-    known = table.orderBy(F.desc("n"), "h").limit(most_known)
+    known = most_frequent(table, most_known)
     model = Model(
         classes,
         np.log10(probabilities),
@@ -274,6 +274,20 @@ def score_texts(
     return _scored(docs, shared(spark, model), table, model)
 
 
+def most_frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows of the highest counts, at most ``most``: whole levels of two per cent in the count,
+    whose sizes are summed from the top, so that nothing is sorted."""
+    level = F.floor(F.log(F.col("n").cast("double")) * 50)
+    sizes = table.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
+    left, least = most, None
+    for row in sorted(sizes, reverse=True):
+        left -= row.n
+        if left < 0:
+            break
+        least = row.level
+    return table.filter(F.lit(False) if least is None else level >= least)
+
+
 FIRST = (
     "n_tokens long, n_known long, base_score double, score double,"
     " open array<long>, times array<long>"

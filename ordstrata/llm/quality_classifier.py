@@ -211,6 +211,15 @@ class CoTrained:
         )
 
 
+def _least_hashes(rows: DataFrame, most: int) -> pd.DataFrame:
+    """About ``most`` rows, or all if there are fewer: those whose hash falls in that share."""
+    share = 1_000_000
+    n = rows.count()
+    if n > most:
+        rows = rows.filter(F.pmod("h", F.lit(share)) < F.lit(share * most // n))
+    return rows.orderBy("h").toPandas()
+
+
 SCORES = "doc_id long, text_score double, page_score double, score double"
 
 
@@ -242,8 +251,8 @@ def classify(
         .agg(F.avg("quality").alias("quality"))
     )
     joined = rows.join(known, "doc_id", "left").withColumn("h", F.xxhash64("doc_id"))
-    sample = joined.filter("quality IS NOT NULL").orderBy("h").limit(most_labelled).toPandas()
-    pool = joined.filter("quality IS NULL").orderBy("h").limit(most_pool).toPandas()
+    sample = _least_hashes(joined.filter("quality IS NOT NULL"), most_labelled)
+    pool = _least_hashes(joined.filter("quality IS NULL"), most_pool)
     y = (sample.quality.to_numpy() >= 0.5).astype(float)
     load = None
     if 0 < y.sum() < len(y):
