@@ -263,6 +263,11 @@ def oracle_sql() -> dict[str, str]:
         "latest_load": _with(
             _raw(_CUSTOMER_NAMES, "raw_customers", "customers", SECOND), _STAGE, _RAW
         ),
+        "job_latest_load": _with(
+            _raw(_CUSTOMER_NAMES, "raw_customers", "customers", SECOND), _STAGE, _RAW
+        ),
+        "job_silver_orders": _silver(_SILVER_ORDERS.replace(FIRST, SECOND)),
+        "job_gold_monthly_tiers": _silver(GOLD["gold_monthly_tiers"]),
         "silver_customers": _silver(_SILVER_CUSTOMERS),
         "silver_orders": _silver(_SILVER_ORDERS),
         **{key: _silver(sql) for key, sql in GOLD.items()},

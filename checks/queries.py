@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import quality  # noqa: F401 - registers its queries
 from checks.mapping import (
     AS_OF,
     CUSTOMER_FILE,
@@ -135,6 +137,31 @@ def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("TABELA", "QTD_INCLUIDO", origin, "STATUS")
 
 
+def job_newest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest load with rows, as the job reads it, after a load without any."""
+    lake = new_lake(spark)
+    create_history(lake)
+    for load_ts in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD + dt.timedelta(days=1)):
+        rows = customer_load(spark, sf_dir, load_ts)
+        if load_ts > SECOND_LOAD:
+            rows = rows.filter(F.col("ID") == "ID")
+        lake.append_load("raw", "raw_cadastro", rows, load_ts)
+    return portable(lake.latest("raw", "raw_cadastro"))
+
+
+def _stored(layer: str, table: str) -> Query:
+    """A table as two runs of the whole job leave it."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = new_lake(spark)
+        paths = write_files(spark, sf_dir, lake.root)
+        for load_ts in (FIRST_LOAD, SECOND_LOAD):
+            run_medallion(lake, *paths, load_ts=load_ts, as_of=AS_OF, rules=RULES)
+        return portable(lake.table(layer, table))
+
+    return read
+
+
 def _gold(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(order_lines(spark, sf_dir), customers(spark, sf_dir))
 
@@ -171,5 +198,8 @@ def queries() -> dict[str, Query]:
         "run_log": logged_loads,
         "log_newest_first": newest_log_rows,
         "run_medallion": whole_job,
+        "job_latest_load": job_newest_load,
+        "job_silver_orders": _stored("silver", "pedido"),
+        "job_gold_monthly_tiers": _stored("gold", "tiers_clientes"),
         **{key: query for key, (query, _) in OPERATORS.items()},
     }

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordstrata.operators import aggregates, history, lookups, windows
+from ordstrata.operators.quality import category_dimension, quality_report, upsert
 
 LOAD = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -80,3 +81,25 @@ def test_windows(spark):
     assert values(totals) == [(1, 1, 6), (2, 3, 6), (3, 6, 6)]
     tied = spark.createDataFrame([(1, 2), (1, 3), (2, 1)], "o int, v int")
     assert values(tied.select("o", windows.running_total(["o"], "v"))) == [(1, 5), (1, 5), (2, 6)]
+
+
+def test_quality_report_upsert_and_dimension(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, None), (2, " "), (None, "b")], "k int, v string")
+    report = quality_report(rows, {"no_value": F.col("v").isNull()}, [F.col("k")])
+    assert sorted(tuple(r) for r in report.collect()) == [("duplicate_key", 1, 4), ("no_value", 1, 4)]
+    none = quality_report(rows.limit(0), {"no_value": F.col("v").isNull()}, [F.col("k")])
+    assert sorted(tuple(r) for r in none.collect()) == [("duplicate_key", 0, 0), ("no_value", 0, 0)]
+
+    old = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (None, "x")], "k int, v string")
+    new = spark.createDataFrame([(2, None), (3, "d"), (4, "e"), (None, "y")], "k int, v string")
+    found = sorted((str(r.k), str(r.v), r.change) for r in upsert(old, new, ["k"]).collect())
+    assert found == [
+        ("1", "a", "kept"),
+        ("2", "None", "kept"),
+        ("3", "d", "updated"),
+        ("4", "e", "inserted"),
+        ("None", "x", "kept"),
+        ("None", "y", "inserted"),
+    ]
+    keys = category_dimension(rows, "v", "id").collect()
+    assert len(keys) == len({r.id for r in keys}) == 3
