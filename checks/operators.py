@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,50 @@ def partitioned_roundtrip(spark, sf_dir):
     )
 
 
+@operator("SELECT count(*) AS n_before, CAST(0 AS BIGINT) AS n_after, 'id,name,nation' AS names FROM supplier")
+def emptied_table(spark, sf_dir):
+    """A table of the suppliers, then replaced by an empty one of a given schema."""
+    lake = new_lake(spark)
+    written = lake.replace("stage", "parties", read_table(spark, sf_dir, "supplier"))
+    lake.create_empty("stage", "parties", _PARTY)
+    empty = lake.table("stage", "parties")
+    left = empty.agg(aggregates.rows_counted().alias("n_after"))
+    return left.select(
+        F.lit(written).alias("n_before"), "n_after", F.lit(",".join(empty.columns)).alias("names")
+    )
+
+
+@operator("""SELECT 'id' AS col_name, 'key of the party' AS comment, count(*) AS n FROM customer
+  UNION ALL SELECT 'name', NULL, count(*) FROM customer
+  UNION ALL SELECT 'nation', NULL, count(*) FROM customer""")
+def described_columns(spark, sf_dir):
+    """Descriptions of the columns of a written table, with its rows."""
+    lake = new_lake(spark)
+    rows = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    written = lake.replace("silver", "parties", rows.toDF(*_PARTY.names).to(_PARTY))
+    described = spark.sql(f"DESCRIBE {lake.name('silver', 'parties')}")
+    return described.select("col_name", "comment", F.lit(written).alias("n"))
+
+
+@operator(_ORDERS + "SELECT count(*) AS n, count(DISTINCT o_custkey) AS n_customers, CAST(0 AS BIGINT) AS n_unsorted FROM o")
+def clustered_by_two_keys(spark, sf_dir):
+    """A table arranged by customer and year, and how many rows are out of order in their file."""
+    lake = new_lake(spark)
+    lake.replace("gold", "orders", _orders(spark, sf_dir), cluster_by=["o_custkey", "year"])
+    keys = F.struct("o_custkey", "year")
+    stored = lake.table("gold", "orders").select(
+        keys.alias("keys"),
+        F.input_file_name().alias("file"),
+        F.monotonically_increasing_id().alias("nth"),
+    )
+    before = F.lag("keys").over(Window.partitionBy("file").orderBy("nth"))
+    return stored.withColumn("before", before).agg(
+        aggregates.rows_counted().alias("n"),
+        F.countDistinct("keys.o_custkey").alias("n_customers"),
+        aggregates.count_where(F.col("before") > F.col("keys")).alias("n_unsorted"),
+    )
+
+
 @operator(_ORDERS + "SELECT year, count(*) AS n FROM o GROUP BY year")
 def overflow_partitions_kept(spark, sf_dir):
     lake = new_lake(spark)

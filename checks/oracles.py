@@ -266,6 +266,19 @@ def oracle_sql() -> dict[str, str]:
         "job_latest_load": _with(
             _raw(_CUSTOMER_NAMES, "raw_customers", "customers", SECOND), _STAGE, _RAW
         ),
+        "repeated_deliveries": _with(
+            f"SELECT 'raw_cadastro' AS TABELA, '{FIRST}' AS DT_CARGA, count(*) AS count FROM raw_customers"
+            " UNION ALL SELECT 'raw_cadastro', '2024-01-03 00:00:00', 2 * count(*) FROM raw_customers"
+            f" UNION ALL SELECT 'raw_pedido', '{FIRST}', count(*) FROM raw_orders",
+            _STAGE,
+            _RAW,
+        ),
+        "results_of_two_runs": _silver(
+            f"SELECT r.*, DT_CARGA FROM ({GOLD['gold_cancellation_rate']}) r,"
+            f" (VALUES ('{FIRST}'), ('{SECOND}')) AS v(DT_CARGA)"
+        ),
+        "drifted_headers": "SELECT * FROM (VALUES (2, 'EMAIL', 'NOME'), (3, 'NOME', 'EMAIL'),"
+        " (14, NULL, 'TELEFONE')) AS v(position, expected, found)",
         "job_silver_orders": _silver(_SILVER_ORDERS.replace(FIRST, SECOND)),
         "job_gold_monthly_tiers": _silver(GOLD["gold_monthly_tiers"]),
         "silver_customers": _silver(_SILVER_CUSTOMERS),

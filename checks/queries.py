@@ -24,7 +24,13 @@ from checks.operators import OPERATORS
 from checks.setup import new_lake
 from ordstrata.operators.history import content_id, latest_load
 from ordstrata.plans import gold
-from ordstrata.plans.medallion import create_history, load_raw, run_medallion
+from ordstrata.plans.medallion import (
+    BY_RUN,
+    create_history,
+    keep_results,
+    load_raw,
+    run_medallion,
+)
 from ordstrata.plans.raw import raw_customers, raw_orders
 from ordstrata.plans.run_log import LogEntry, append_log, read_log
 from ordstrata.plans.silver import silver_customers, silver_orders
@@ -36,7 +42,7 @@ from ordstrata.schemas import (
     names,
 )
 from ordstrata.session import scratch_folder
-from ordstrata.sources.delimited import read_delimited, write_delimited
+from ordstrata.sources.delimited import header_drift, read_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,6 +155,43 @@ def job_newest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(lake.latest("raw", "raw_cadastro"))
 
 
+def repeated_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per load after a delivery came twice and then with rows added."""
+    lake = new_lake(spark)
+    create_history(lake)
+    people, lines = stage_customers(spark, sf_dir), stage_orders(spark, sf_dir)
+    lake.replace("stage", "stg_pedido", lines)
+    for days, delivered in enumerate((people, people, people.union(people.filter("ID IS NOT NULL")))):
+        lake.replace("stage", "stg_cadastro", with_unnamed(delivered))
+        at = FIRST_LOAD + dt.timedelta(days=days)
+        load_raw(lake, at, CUSTOMER_FILE, ORDER_FILE, skip_unchanged=True)
+    loads = [
+        lake.table("raw", t).groupBy("DT_CARGA").count().select(F.lit(t).alias("TABELA"), "*")
+        for t in ("raw_cadastro", "raw_pedido")
+    ]
+    return portable(loads[0].union(loads[1]))
+
+
+def results_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small result as two runs of the whole job keep it, the second kept twice."""
+    lake = new_lake(spark)
+    paths = write_files(spark, sf_dir, lake.root)
+    for load_ts in (FIRST_LOAD, SECOND_LOAD):
+        run_medallion(lake, *paths, load_ts=load_ts, as_of=AS_OF, rules=RULES, by_run=True)
+    keep_results(lake, SECOND_LOAD)
+    return portable(lake.table("gold", "cancelamento_por_departamento" + BY_RUN))
+
+
+def drifted_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header differences of a customer file with two columns swapped and one added."""
+    path = f"{scratch_folder(spark)}/customers"
+    stage = with_unnamed(stage_customers(spark, sf_dir))
+    order = names(STAGE_CUSTOMERS)
+    order[1], order[2] = order[2], order[1]
+    write_delimited(stage.select(*order, F.lit("x").alias("TELEFONE")), path)
+    return header_drift(spark, path, STAGE_CUSTOMERS).drop("file").distinct()
+
+
 def _stored(layer: str, table: str) -> Query:
     """A table as two runs of the whole job leave it."""
 
@@ -199,6 +242,9 @@ def queries() -> dict[str, Query]:
         "log_newest_first": newest_log_rows,
         "run_medallion": whole_job,
         "job_latest_load": job_newest_load,
+        "repeated_deliveries": repeated_deliveries,
+        "results_of_two_runs": results_of_two_runs,
+        "drifted_headers": drifted_headers,
         "job_silver_orders": _stored("silver", "pedido"),
         "job_gold_monthly_tiers": _stored("gold", "tiers_clientes"),
         **{key: query for key, (query, _) in OPERATORS.items()},

@@ -29,11 +29,25 @@ def main(arguments: list[str] | None = None) -> None:
     )
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="date that ages refer to")
     parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument(
+        "--skip-unchanged", action="store_true", help="add no load for the newest load's rows again"
+    )
+    parser.add_argument(
+        "--by-run", action="store_true", help="keep the small results of every run"
+    )
     given = parser.parse_args(arguments)
 
     spark = build_session("ordstrata", shuffle_partitions=given.shuffle_partitions)
     lake = Lake(spark, given.root, given.namespace)
-    log = run_medallion(lake, given.customers, given.orders, given.load_ts, given.as_of)
+    log = run_medallion(
+        lake,
+        given.customers,
+        given.orders,
+        given.load_ts,
+        given.as_of,
+        skip_unchanged=given.skip_unchanged,
+        by_run=given.by_run,
+    )
     run = log.filter(F.col("DATA_RODADA") == log.agg(F.max("DATA_RODADA")).scalar())
     for row in run.collect():  # one per table written
         print(*row, sep=" | ")

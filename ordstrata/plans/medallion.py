@@ -7,25 +7,44 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from ordstrata.operators.history import same_rows
 from ordstrata.plans.gold import GOLD_TABLES, Rules
 from ordstrata.plans.raw import raw_customers, raw_orders
 from ordstrata.plans.run_log import FAILURE, LogEntry, append_log, create_log, read_log
 from ordstrata.plans.silver import silver_customers, silver_orders
-from ordstrata.schemas import RAW_CUSTOMERS, RAW_ORDERS, STAGE_CUSTOMERS, STAGE_ORDERS
+from ordstrata.schemas import (
+    CUSTOMER_COLUMNS,
+    ORDER_COLUMNS,
+    PROVENANCE_COLUMNS,
+    RAW_CUSTOMERS,
+    RAW_ORDERS,
+    STAGE_CUSTOMERS,
+    STAGE_ORDERS,
+    names,
+)
 from ordstrata.sinks.tables import LOAD_COLUMN, Lake
 from ordstrata.sources.delimited import read_delimited
 
 STEPS_AT_ONCE = 4
-EMPTY = "no rows"
+EMPTY, UNCHANGED = "no rows", "same rows as the newest load"
+BY_RUN = "_por_rodada"
 
 
-def load_stage(lake: Lake, customers_path: str, orders_path: str) -> None:
-    """Files to the stage tables, as text; each run replaces them."""
-    customers = read_delimited(lake.spark, customers_path, STAGE_CUSTOMERS)
-    lake.replace("stage", "stg_cadastro", customers, "Customer file as text")
-    orders = read_delimited(lake.spark, orders_path, STAGE_ORDERS)
-    lake.replace("stage", "stg_pedido", orders, "Order file as text")
+def load_stage(lake: Lake, load_ts: dt.datetime, customers_path: str, orders_path: str) -> None:
+    """Files to the stage tables, as text; each run replaces them. Only failures are logged."""
+
+    def customers() -> int:
+        rows = read_delimited(lake.spark, customers_path, STAGE_CUSTOMERS)
+        return lake.replace("stage", "stg_cadastro", rows, "Customer file as text")
+
+    def orders() -> int:
+        rows = read_delimited(lake.spark, orders_path, STAGE_ORDERS)
+        return lake.replace("stage", "stg_pedido", rows, "Order file as text")
+
+    steps = {"stg_cadastro": (customers_path, customers), "stg_pedido": (orders_path, orders)}
+    _logged(lake, load_ts, steps, only_failures=True)
 
 
 def create_history(lake: Lake) -> None:
@@ -35,8 +54,14 @@ def create_history(lake: Lake) -> None:
     create_log(lake)
 
 
-def _logged(lake: Lake, at: dt.datetime, steps: dict[str, tuple[str, Callable[[], int]]]) -> None:
-    """Run independent steps that each write a table, a few at a time, and log them together.
+def _logged(
+    lake: Lake,
+    at: dt.datetime,
+    steps: dict[str, tuple[str, Callable[[], int | None]]],
+    only_failures: bool = False,
+) -> None:
+    """Run independent steps that each write a table, a few at a time, and log them together. A
+    step gives the number of rows it wrote, or None if it left the table as it was.
 
     Every step is tried. Failed ones are logged too, then the first failure is raised; trouble with
     the log itself does not hide it.
@@ -50,12 +75,17 @@ def _logged(lake: Lake, at: dt.datetime, steps: dict[str, tuple[str, Callable[[]
         except Exception as error:
             errors.append(error)
             return LogEntry(table, None, origin, FAILURE, str(error))
+        if rows is None:
+            return LogEntry(table, 0, origin, note=UNCHANGED)
         return LogEntry(table, rows, origin, note=None if rows else EMPTY)
 
     with ThreadPoolExecutor(STEPS_AT_ONCE) as pool:
         entries = list(pool.map(tried, steps.items()))
+    if only_failures:
+        entries = [e for e in entries if e.status == FAILURE]
     try:
-        append_log(lake, entries, at)
+        if entries:
+            append_log(lake, entries, at)
     finally:
         if errors:
             raise errors[0]
@@ -66,16 +96,26 @@ def load_raw(
     load_ts: dt.datetime,
     customers_origin: str,
     orders_origin: str,
+    skip_unchanged: bool = False,
 ) -> None:
-    """Stage tables to one more load of the history tables."""
+    """Stage tables to one more load of the history tables.
 
-    def customers() -> int:
+    With ``skip_unchanged`` a delivery whose rows are those of the newest load adds no load, so a
+    file sent again under a new time is not kept twice.
+    """
+
+    def appended(table: str, rows: DataFrame, columns: list[T.StructField]) -> int | None:
+        if skip_unchanged and same_rows(rows, lake.latest("raw", table), names(columns)):
+            return None
+        return lake.append_load("raw", table, rows, load_ts)
+
+    def customers() -> int | None:
         rows = raw_customers(lake.table("stage", "stg_cadastro"), load_ts, customers_origin)
-        return lake.append_load("raw", "raw_cadastro", rows, load_ts)
+        return appended("raw_cadastro", rows, CUSTOMER_COLUMNS)
 
-    def orders() -> int:
+    def orders() -> int | None:
         rows = raw_orders(lake.table("stage", "stg_pedido"), load_ts, orders_origin)
-        return lake.append_load("raw", "raw_pedido", rows, load_ts)
+        return appended("raw_pedido", rows, ORDER_COLUMNS)
 
     steps = {"raw_cadastro": (customers_origin, customers), "raw_pedido": (orders_origin, orders)}
     _logged(lake, load_ts, steps)
@@ -115,6 +155,24 @@ def load_gold(lake: Lake, load_ts: dt.datetime, rules: Rules = Rules()) -> None:
     _logged(lake, load_ts, {f"gold.{name}": ("silver", writer(name)) for name in GOLD_TABLES})
 
 
+def keep_results(lake: Lake, load_ts: dt.datetime) -> None:
+    """Add the results that have no year to tables that hold every run's, partitioned by run. A
+    repeated run replaces its own rows."""
+
+    def keeper(name: str) -> Callable[[], int]:
+        def keep() -> int:
+            rows = lake.table("gold", name)
+            schema = T.StructType([*rows.schema.fields, PROVENANCE_COLUMNS[0]])
+            comment = f"{GOLD_TABLES[name].comment}, of every run"
+            lake.create("gold", name + BY_RUN, schema, comment, LOAD_COLUMN)
+            return lake.append_load("gold", name + BY_RUN, rows, load_ts)
+
+        return keep
+
+    small = [name for name, table in GOLD_TABLES.items() if not table.by_year]
+    _logged(lake, load_ts, {f"gold.{name}{BY_RUN}": ("gold", keeper(name)) for name in small})
+
+
 def read_result(lake: Lake, name: str) -> DataFrame:
     """A result table in the order of its report."""
     return GOLD_TABLES[name].ordered(lake.table("gold", name))
@@ -139,8 +197,11 @@ def run_medallion(
     load_ts: dt.datetime | None = None,
     as_of: dt.date | None = None,
     rules: Rules = Rules(),
+    skip_unchanged: bool = False,
+    by_run: bool = False,
 ) -> DataFrame:
     """Run all layers for one delivery of the two files and return the log, newest rows first.
+    ``skip_unchanged`` is that of :func:`load_raw`; ``by_run`` adds :func:`keep_results`.
 
     Run again with the same ``load_ts`` after a failure: the load is replaced, not added twice.
     The versions before the current one are deleted first, so that two remain: the one that was
@@ -149,8 +210,10 @@ def run_medallion(
     load_ts = load_ts or dt.datetime.now(dt.timezone.utc)
     remove_old_versions(lake)
     create_history(lake)
-    load_stage(lake, customers_path, orders_path)
-    load_raw(lake, load_ts, customers_path, orders_path)
+    load_stage(lake, load_ts, customers_path, orders_path)
+    load_raw(lake, load_ts, customers_path, orders_path, skip_unchanged)
     load_silver(lake, load_ts, as_of)
     load_gold(lake, load_ts, rules)
+    if by_run:
+        keep_results(lake, load_ts)
     return read_log(lake)

@@ -9,11 +9,12 @@ from pyspark.sql import types as T
 
 from checks.mapping import AS_OF, FIRST_LOAD, RULES, SECOND_LOAD
 from checks.queries import write_files
+from ordstrata.operators.history import same_rows
 from ordstrata.plans import medallion, run_log
 from ordstrata.plans.gold import Rules
-from ordstrata.schemas import RAW_CUSTOMERS, RUN_LOG, STAGE_CUSTOMERS
+from ordstrata.schemas import RAW_CUSTOMERS, RUN_LOG, STAGE_CUSTOMERS, STAGE_ORDERS
 from ordstrata.sinks.tables import BUCKET_COLUMN, LOAD_COLUMN
-from ordstrata.sources.delimited import read_delimited, write_delimited
+from ordstrata.sources.delimited import header_drift, read_delimited, write_delimited
 
 FIRST = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 SECOND = dt.datetime(2024, 1, 2, 3, 4, 5, 678, tzinfo=dt.timezone.utc)
@@ -259,3 +260,58 @@ def test_every_step_is_tried(spark, lake):
         medallion._logged(lake, FIRST_LOAD, steps)
     states = [r.STATUS for r in lake.table("raw", "log_rodadas").collect()]
     assert sorted(states) == ["ERRO"] + ["SUCESSO"] * 9
+
+
+def test_a_failed_stage_is_logged_and_the_other_is_not(spark, lake, tmp_path):
+    medallion.create_history(lake)
+    (tmp_path / "c.csv").write_text("a;b\n1;2\n")
+    header = ";".join(STAGE_ORDERS.names)
+    (tmp_path / "o.csv").write_text(f"{header}\n{';' * (len(STAGE_ORDERS) - 1)}\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        medallion.load_stage(lake, FIRST, str(tmp_path / "c.csv"), str(tmp_path / "o.csv"))
+    [row] = run_log.read_log(lake).collect()
+    assert (row.TABELA, row.STATUS, row.QTD_INCLUIDO) == ("stg_cadastro", "ERRO", None)
+    assert lake.table("stage", "stg_pedido").count() == 1
+
+
+def test_header_drift(spark, tmp_path):
+    for name, text in {
+        "same": "a;b;c\n1;2;3\n",
+        "moved": 'b;"a";c\na;b;c\n',
+        "more": "a;b;c;d\n",
+        "fewer": "a;\n1;2\n",
+        "none": "",
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    schema = spark.createDataFrame([], TEXT).schema
+    rows = header_drift(spark, str(tmp_path), schema)
+    found = [(r.file.rsplit("/", 1)[-1][:-4], *r[1:]) for r in rows.collect()]
+    assert sorted(found, key=str) == [
+        ("fewer", 3, "c", None),
+        ("more", 4, None, "d"),
+        ("moved", 1, "a", "b"),
+        ("moved", 2, "b", "a"),
+    ]
+
+
+def test_same_rows(spark):
+    given = [("1", None), ("1", None), (None, "1"), ("", "x")]
+
+    def held(left, right):
+        frames = [spark.createDataFrame(x, "a string, b string") for x in (left, right)]
+        return same_rows(*frames, ["a", "b"])
+
+    assert held(given, given[::-1]) and held([], [])
+    assert not held(given, given[1:])
+    assert not held(given, [*given[1:], (None, "1")])
+    assert not held(given, [*given[:3], (None, "x")]) and not held(given, [])
+
+
+def test_unchanged_deliveries_add_no_load(spark, lake, sf_dir):
+    paths = write_files(spark, sf_dir, lake.root)
+    for at in (FIRST, SECOND):
+        log = medallion.run_medallion(lake, *paths, load_ts=at, as_of=AS_OF, rules=RULES, skip_unchanged=True)
+    newest = {r.TABELA: r for r in log.filter(F.col("DATA_RODADA") == SECOND).collect()}
+    assert (newest["raw_pedido"].QTD_INCLUIDO, newest["raw_pedido"].OBSERVACAO) == (0, medallion.UNCHANGED)
+    assert newest["silver.pedido"].QTD_INCLUIDO == 3657
+    assert lake.table("raw", "raw_pedido").select(LOAD_COLUMN).distinct().count() == 1
