@@ -10,15 +10,17 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordstrata.llm.common import Cache, shared, stored
 from ordstrata.llm.language_id import held_out
+from ordstrata.llm.near_dups import mixed
 
 END = b" "  # no word holds a blank
 MODULUS = 7
 FLUSH = 300_000
+PAIRS_AT_ONCE = 1_000_000
 TASKS = 16  # groups of contexts that are seated side by side
 ONE_BY_ONE = 64  # customers of a dish that are seated singly; further ones in blocks
 
@@ -74,6 +76,39 @@ def pair_counts(docs: DataFrame, classes: dict[int, int]) -> DataFrame:
     return counted.groupBy("u", "w").agg(F.sum("n").alias("n"))
 
 
+def pair_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs of token hashes."""
+    first = mixed(u.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mixed(first + w.astype(np.int64).view(np.uint64)).view(np.int64)
+
+
+def word_pairs(docs: DataFrame) -> DataFrame:
+    """(u, w, n): how often each token (by hash) follows each other one, a text after an end; summed
+    in each task first. No pair is left out."""
+
+    def summed(hashes: list[np.ndarray]) -> pd.DataFrame:
+        u = np.concatenate([h[:-1] for h in hashes])
+        w = np.concatenate([h[1:] for h in hashes])
+        _, at, n = np.unique(pair_keys(u, w), return_index=True, return_counts=True)
+        return pd.DataFrame({"u": u[at], "w": w[at], "n": n})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, held, size = Cache(word_hash), [], 0
+        for batch in batches:
+            for text in batch.text:
+                words = [END, *tokens(text)]
+                held.append(np.fromiter(map(ids.__getitem__, words), np.int64, len(words)))
+                size += len(words)
+                if size >= PAIRS_AT_ONCE:
+                    yield summed(held)
+                    held, size = [], 0
+        if held:
+            yield summed(held)
+
+    counted = docs.select("text").mapInPandas(count, "u long, w long, n long")
+    return counted.groupBy("u", "w").agg(F.sum("n").alias("n"))
+
+
 def seat(
     customers: np.ndarray,
     parent: np.ndarray,
@@ -81,14 +116,14 @@ def seat(
     strength: float,
     rng: np.random.Generator,
     restaurant: np.ndarray | None = None,
-    other_tables: float | None = None,
+    other_tables: float | np.ndarray | None = None,
 ) -> np.ndarray:
     """Tables of each dish after all customers of its restaurant sat down one after the other.
 
     The k-th customer of a dish opens a table with the weight of the parent's probability of the
     dish times (strength + discount * tables), against k - 1 - discount * its tables. Customers
     beyond the 64th come in blocks that grow with the count. ``other_tables`` fixes the number of
-    tables of a restaurant too large to be in one place.
+    tables of a restaurant too large to be in one place, for each dish if it is an array.
     """
     tables = np.ones(len(customers), np.int64)
     place = np.zeros(len(customers), np.int64) if restaurant is None else restaurant
@@ -101,6 +136,8 @@ def seat(
         n_tables = other_tables
         if n_tables is None:
             n_tables = np.bincount(place, tables)[place[here]]
+        elif isinstance(n_tables, np.ndarray):
+            n_tables = n_tables[here]
         new = (strength + discount * n_tables) * parent[here]
         old = np.maximum(seated - discount * t, 1e-12)
         more = np.minimum(customers[here] - seated, step)
@@ -112,11 +149,14 @@ def seat(
 class Model(NamedTuple):
     """``classes``: class of each frequent token by hash, all others are the last class. ``pairs``:
     logarithm of the probability of a class after another. ``known``: count and logarithm of the
-    probability within the last class, of the most frequent tokens by hash."""
+    probability within the last class (and of what its restaurant leaves to the parent), of the most
+    frequent tokens by hash. ``keys`` and ``gains``: the most frequent pairs, sorted."""
 
     classes: dict[int, int]
     pairs: np.ndarray
     known: dict[int, tuple[int, float]]
+    keys: np.ndarray
+    gains: np.ndarray
     unknown: float
     n_tokens: int
     n_types: int
@@ -225,6 +265,101 @@ def rare_tokens(
     return stored(whole), math.log10(left)
 
 
+def looked_up(rows: DataFrame, key: str, table: DataFrame, most: int, **named: str) -> DataFrame:
+    """``rows`` with columns of ``table`` by the hash in ``key``: the ``most`` frequent tokens travel
+    to the rows, so only rows of other tokens are shuffled."""
+    def values(part: DataFrame) -> DataFrame:
+        return part.select(F.col("h").alias(key), *(F.col(c).alias(x) for x, c in named.items()))
+
+    near = rows.join(F.broadcast(values(most_frequent(table, most))), key, "left")
+    first = next(iter(named))
+    far = near.filter(F.col(first).isNull()).drop(*named).join(values(table), key)
+    found = near.filter(F.col(first).isNotNull())
+    return found.unionByName(far)
+
+
+def seated_pairs(
+    pairs: DataFrame,
+    table: DataFrame,
+    probabilities: np.ndarray,
+    discount: float,
+    strength: float,
+    sweep: int,
+    samples: int,
+    most: int,
+) -> DataFrame:
+    """(u, w, n, t): tables of every pair, the mean of ``samples`` draws, under the probabilities
+    of classes and the columns log_p, class and tables (of the last sweep) of ``table``. Rows are
+    seated wherever they are, as the number of tables of their restaurant is given. A single
+    customer has a single table."""
+    load = shared(pairs.sparkSession, probabilities)
+
+    def reseat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = load()
+        for rows in batches:
+            if not len(rows):
+                continue
+            rng = np.random.default_rng([sweep, *(int(rows[c].iloc[0]) & 0xFFFFFFFF for c in "uw")])
+            parent = known[rows.cu, rows.cw] * 10 ** rows.log_p.to_numpy()
+            n, tables = rows.n.to_numpy(), rows.tables.to_numpy()
+            draws = [seat(n, parent, discount, strength, rng, None, tables) for _ in range(samples)]
+            yield rows[["u", "w", "n"]].assign(t=np.mean(draws, axis=0))
+
+    many = looked_up(pairs.filter("n > 1"), "w", table, most, log_p="log_p", cw="class")
+    many = looked_up(many, "u", table, most, tables="tables", cu="class")
+    seats = many.mapInPandas(reseat, "u long, w long, n long, t double")
+    return stored(seats.union(pairs.filter("n = 1").withColumn("t", F.lit(1.0))))
+
+
+def pair_gains(
+    seats: DataFrame,
+    table: DataFrame,
+    probabilities: np.ndarray,
+    discount: float,
+    strength: float,
+    most: int,
+) -> DataFrame:
+    """(key, n, gain) of every pair: the logarithm of its probability over what its restaurant
+    leaves to the parent for it."""
+    load = shared(seats.sparkSession, probabilities)
+
+    def gain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = load()
+        for x in batches:
+            parent = known[x.cu, x.cw] * 10 ** x.log_p.to_numpy()
+            own = np.maximum(x.n - discount * x.t, 0).to_numpy()
+            more = np.log10(1 + own / ((strength + discount * x.tables.to_numpy()) * parent))
+            keys = pair_keys(x.u.to_numpy(), x.w.to_numpy())
+            yield pd.DataFrame({"key": keys, "n": x.n, "gain": more})
+
+    rows = looked_up(seats, "w", table, most, log_p="log_p", cw="class")
+    rows = looked_up(rows, "u", table, most, tables="tables", cu="class")
+    return stored(rows.mapInPandas(gain, "key long, n long, gain double"))
+
+
+def shared_classes(spark: SparkSession, classes: dict[int, int]) -> DataFrame:
+    return spark.createDataFrame(list(classes.items()), "h long, class int")
+
+
+def tables_of(seats: DataFrame) -> DataFrame:
+    """(u, tables): tables of every restaurant."""
+    return seats.groupBy("u").agg(F.sum("t").alias("tables"))
+
+
+def dishes(
+    table: DataFrame, counts: DataFrame, restaurants: DataFrame, classes: dict[int, int]
+) -> DataFrame:
+    """(h, n, log_p, class, tables) of every token: its count, its probability within its class,
+    and the tables of the restaurant it is the context of."""
+    numbers, last = shared_classes(counts.sparkSession, classes), F.lit(len(classes))
+    return stored(
+        counts.join(table.select("h", "log_p"), "h")
+        .join(restaurants.withColumnRenamed("u", "h"), "h")
+        .join(F.broadcast(numbers), "h", "left")
+        .select("h", "n", "log_p", F.coalesce("class", last).alias("class"), "tables")
+    )
+
+
 def score_texts(
     docs: DataFrame,
     n_classes: int = 511,
@@ -237,14 +372,18 @@ def score_texts(
     ``docs`` (doc_id, text).
 
     Tokens are words in ASCII lower case and one end per text. All counts cover all texts that are
-    not held out. The ``n_classes`` most frequent tokens (the end among them) are contexts with a
-    restaurant each, one more stands for all other tokens; the token within that class comes from
-    a restaurant over all of them. ``score`` is the logarithm of the averaged predictive
-    probability of the text, ``base_score`` that of counts plus one; the perplexity is
-    10 ** (-score / n_tokens).
-
-    The ``most_known`` most frequent tokens travel to the tasks; what else a text holds is joined
-    by hash, so the vocabulary may have any size. Tokens are told apart by 64-bit hashes.
+    not held out. Every token is a context with a restaurant of all tokens that follow it. Its
+    parent is the probability of the token's class after the context's class, times that of the
+    token within its class: the ``n_classes`` most frequent tokens (the end among them) are classes
+    of their own, one more holds all other tokens, whose restaurant covers all of them. Customers
+    of the parents are the tables below them: restaurants are seated under parents of raw counts,
+    the parents anew from their tables, then the restaurants again. ``score`` is the logarithm of
+    the predictive probability of the text, ``base_score`` that of counts plus one; the perplexity
+    is 10 ** (-score / n_tokens).
+
+    The ``most_known`` most frequent tokens and as many pairs travel to the tasks; what else a text
+    holds is joined by hash, so vocabulary and pairs may have any number. Tokens are told apart by
+    64-bit hashes.
 
     Null and empty texts are one end. Repeated rows each get their score; rows without doc_id count
     as doc_id of empty text. Without training rows every class is equally likely. An empty table
@@ -259,19 +398,45 @@ def score_texts(
     frequent = [word_hash(END), *(r.h for r in top if r.h != word_hash(END))][:n_classes]
     classes = {h: i for i, h in enumerate(frequent)}
     size = len(classes) + 1
-    pairs = stored(pair_counts(seen, classes))
-    probabilities = gibbs(pairs, size, burn_in, samples, strength)
-    table, unknown = rare_tokens(counts, classes, samples, strength)
+    pairs = stored(word_pairs(seen))
+    discount = discount_of(pairs)
+    probabilities = gibbs(pair_counts(seen, classes), size, burn_in, samples, strength)
+    table, _ = rare_tokens(counts, classes, samples, strength)
+    types = pairs.groupBy("u").agg(F.count("*").cast("double").alias("tables"))
+    table = dishes(table, counts, types, classes)
+    seats = seated_pairs(pairs, table, probabilities, discount, strength, 0, 1, most_known)
+
+    # The parents again, from the tables below them.
+    numbers = shared_classes(spark, classes)
+    below = (
+        seats.join(F.broadcast(numbers.toDF("u", "cu")), "u", "left")
+        .join(F.broadcast(numbers.toDF("w", "cw")), "w", "left")
+        .groupBy(*(F.coalesce(c, F.lit(size - 1)).cast("long").alias(c[1]) for c in ("cu", "cw")))
+        .agg(F.sum("t").cast("long").alias("n"))
+    )
+    probabilities = gibbs(stored(below), size, burn_in, samples, strength)
+    served = stored(seats.groupBy(F.col("w").alias("h")).agg(F.sum("t").cast("long").alias("n")))
+    table, unknown = rare_tokens(served, classes, samples, strength)
+    table = dishes(table, counts, tables_of(seats), classes)
+    seats = seated_pairs(pairs, table, probabilities, discount, strength, 1, samples, most_known)
+    table = dishes(table, counts, tables_of(seats), classes)
+    gains = pair_gains(seats, table, probabilities, discount, strength, most_known)
+
+    left = F.log10((strength + discount * F.col("tables")) / (F.col("n") + strength))
+    table = stored(table.select("h", "n", (F.col("log_p") + left).alias("log_p")))
     known = most_frequent(table, most_known)
+    near = sorted((r.key, r.gain) for r in most_frequent(gains, most_known).toLocalIterator())
     model = Model(
         classes,
         np.log10(probabilities),
         {r.h: (r.n, r.log_p) for r in known.toLocalIterator()},
+        np.array([k for k, _ in near], np.int64),
+        np.array([g for _, g in near], np.float64),
         unknown,
         n_tokens,
         n_types,
     )
-    return _scored(docs, shared(spark, model), table, model)
+    return _scored(docs, shared(spark, model), table, gains, model)
 
 
 def most_frequent(table: DataFrame, most: int) -> DataFrame:
@@ -290,11 +455,13 @@ def most_frequent(table: DataFrame, most: int) -> DataFrame:
 
 FIRST = (
     "n_tokens long, n_known long, base_score double, score double,"
-    " open array<long>, times array<long>"
+    " open array<long>, times array<long>, keys array<long>, key_times array<long>"
 )
 
 
-def _scored(docs: DataFrame, load, table: DataFrame, model: Model) -> DataFrame:
+def _scored(
+    docs: DataFrame, load, table: DataFrame, gains: DataFrame, model: Model
+) -> DataFrame:
     whole = math.log10(model.n_tokens + model.n_types + 1)
     complete = len(model.known) == model.n_types
 
@@ -309,7 +476,7 @@ def _scored(docs: DataFrame, load, table: DataFrame, model: Model) -> DataFrame:
             base = math.log10(n + 1) - whole if there or complete else 0.0
             return model.classes.get(h, last), int(there), base, log_p, h
 
-        words = Cache(look)
+        words, end = Cache(look), word_hash(END)
         for texts in batches:
             out = []
             for text in texts:
@@ -319,10 +486,17 @@ def _scored(docs: DataFrame, load, table: DataFrame, model: Model) -> DataFrame:
                 total = float(model.pairs[ids[:-1], ids[1:]].sum()) + sum(f[3] for f in found)
                 open_ = Counter() if complete else Counter(f[4] for f in found if not f[1])
                 n_known, base = sum(f[1] for f in found), sum(f[2] for f in found)
+                hashes = np.array([end, *(f[4] for f in found)], np.int64)
+                keys, times = np.unique(pair_keys(hashes[:-1], hashes[1:]), return_counts=True)
+                if len(model.keys):
+                    at = np.minimum(np.searchsorted(model.keys, keys), len(model.keys) - 1)
+                    near = model.keys[at] == keys
+                    total += float((model.gains[at] * times)[near].sum())
+                    keys, times = keys[~near], times[~near]
                 out.append(
-                    (len(said), n_known, base, total, list(open_), list(open_.values()))
+                    (len(said), n_known, base, total, list(open_), list(open_.values()), keys, times)
                 )
-            names = ["n_tokens", "n_known", "base_score", "score", "open", "times"]
+            names = ["n_tokens", "n_known", "base_score", "score", "open", "times", "keys", "key_times"]
             yield pd.DataFrame(out, columns=names)
 
     first = docs.select(
@@ -331,8 +505,22 @@ def _scored(docs: DataFrame, load, table: DataFrame, model: Model) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         F.pandas_udf(score, FIRST)("text").alias("s"),
     ).select("doc_id", "held_out", "row", "s.*")
+    first = stored(first)
+    pairs = first.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("x")).select(
+        "row", F.col("x.keys").alias("key"), F.col("x.key_times").alias("k")
+    )
+    gained = (
+        pairs.join(gains.select("key", "gain"), "key")
+        .groupBy("row")
+        .agg(F.sum(F.col("k") * F.col("gain")).alias("gained"))
+    )
+    first = (
+        first.drop("keys", "key_times")
+        .join(gained, "row", "left")
+        .withColumn("score", F.col("score") + F.coalesce("gained", F.lit(0.0)))
+        .drop("gained")
+    )
     if not complete:
-        first = stored(first)
         first = _with_rest(first, table, model.unknown, whole)
     return first.select(
         "doc_id",

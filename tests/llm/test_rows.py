@@ -329,6 +329,25 @@ def test_language_model_learns_contexts(spark):
         assert r.score > r.base_score / 5
 
 
+@pytest.mark.parametrize("most_known", [2, 100_000])
+def test_language_model_learns_contexts_beyond_its_classes(spark, most_known):
+    text = "a b c d e f g h"  # all but the end are outside the classes
+    docs = spark.createDataFrame([(i, text) for i in range(200)], "doc_id long, text string")
+    rows = score_texts(docs, n_classes=1, most_known=most_known, burn_in=1, samples=2)
+    for r in rows.limit(5).collect():
+        assert r.score > r.base_score / 5
+
+
+def test_language_model_restaurants_add_up(spark):
+    # Texts of one token: their probabilities, and what is left for others, make one in the end.
+    said = ["a"] * 9 + ["b"] * 4 + ["c"] * 2 + ["d"]
+    docs = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(said)], "doc_id long, text string")
+    seen = {r.text for r in docs.collect() if remainder(r.doc_id, 7) != 2}
+    rows = score_texts(docs, n_classes=2, burn_in=1, samples=2)
+    found = {r.text: r.score for r in docs.join(rows, "doc_id").collect() if r.text in seen}
+    assert 0.8 < sum(10**x for x in found.values()) <= 1.0001
+
+
 def test_quality_classifier(spark, docs, empty):
     from conftest import prose
 
