@@ -110,20 +110,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def islands(text: str) -> list[tuple[int, str]]:
     """(start, text) of the stretches that can hold a span: characters around digits and @ up to
-    white space, joined where only one blank lies between. Every span has a digit or an @."""
+    white space or ``MOST_CHARS`` past the outermost sign, joined where only one blank lies between.
+    A stretch has any length: it ends only at wider space, beside pieces without a digit or @, or
+    where a span of at most ``MOST_CHARS`` characters around a sign cannot reach."""
     found: list[list[int]] = []
     for m in SIGN.finditer(text):
         at = m.start()
-        if found and at < found[-1][1]:
-            continue
         begin = at
         floor = max(0, at - MOST_CHARS, found[-1][1] if found else 0)
         while begin > floor and not text[begin - 1].isspace():
             begin -= 1
-        end = m.end()
+        end = max(m.end(), found[-1][1] if found else 0)
         while end < len(text) and end - at < MOST_CHARS and not text[end].isspace():
             end += 1
-        if found and begin - found[-1][1] <= 1 and end - found[-1][0] <= 2 * MOST_CHARS:
+        if found and begin - found[-1][1] <= 1:
             found[-1][1] = end
         else:
             found.append([begin, end])
@@ -166,11 +166,13 @@ def span_features(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def segments(text: str) -> tuple[list[int], list[tuple[int, int, list[str]]]]:
-    """Token borders, and the candidate spans between them: bounded, with a digit or an @, and
-    neither beginning nor ending with white space."""
-    borders = [0, *(m.end() for m in TOKEN.finditer(text))]
-    found = []
+def token_borders(text: str) -> list[int]:
+    return [0, *(m.end() for m in TOKEN.finditer(text))]
+
+
+def candidates(text: str, borders: list[int]) -> Iterator[tuple[int, int, list[str]]]:
+    """The candidate spans between token borders, by where they begin: bounded, with a digit or an
+    @, and neither beginning nor ending with white space."""
     for i in range(len(borders) - 1):
         if text[borders[i]].isspace():
             continue
@@ -179,8 +181,7 @@ def segments(text: str) -> tuple[list[int], list[tuple[int, int, list[str]]]]:
                 break
             part = text[borders[i] : borders[j]]
             if not part[-1].isspace() and SIGN.search(part):
-                found.append((i, j, span_features(text, borders[i], borders[j])))
-    return borders, found
+                yield i, j, span_features(text, borders[i], borders[j])
 
 
 def added(a: float, b: float) -> float:
@@ -205,7 +206,8 @@ class SpanField:
         squares: dict[tuple[int, str], float] = {}
         prepared = []
         for text, spans in texts:
-            borders, found = segments(text)
+            borders = token_borders(text)
+            found = list(candidates(text, borders))
             place = {b: i for i, b in enumerate(borders)}
             gold = {(place.get(a), place.get(b)): k for a, k, b in spans}
             prepared.append((len(borders) - 1, found, gold))
@@ -244,20 +246,22 @@ class SpanField:
         return self
 
     def decode(self, text: str) -> list[tuple[int, int, int]]:
-        """The best labelling: boundaries and kinds chosen together."""
-        borders, found = segments(text)
+        """The best labelling: boundaries and kinds chosen together. Candidates are scored as they
+        come and not kept, so a stretch may have any length."""
+        borders = token_borders(text)
         n = len(borders) - 1
         best, back = [0.0] * (n + 1), [None] * (n + 1)
-        ending: list[list] = [[] for _ in range(n + 1)]
-        for i, j, features in found:
+        at = 0
+        for i, j, features in candidates(text, borders):
+            for at in range(at + 1, i + 1):
+                if best[at - 1] >= best[at]:
+                    best[at], back[at] = best[at - 1], None
             for k, x in enumerate(self.scores(features)):
-                if x > 0:
-                    ending[j].append((i, k, x))
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for i, k, x in ending[j]:
-                if best[i] + x > best[j]:
+                if x > 0 and best[i] + x > best[j]:
                     best[j], back[j] = best[i] + x, (i, k)
+        for at in range(at + 1, n + 1):
+            if best[at - 1] >= best[at]:
+                best[at], back[at] = best[at - 1], None
         spans, j = [], n
         while j:
             if back[j]:
@@ -310,7 +314,9 @@ def all_spans(text: str, decoded: Cache) -> tuple[list, list]:
     reach = list(accumulate((b for _, _, b in base), max))
     spans = list(base)
     for at, island in islands(text):
-        for a, k, b in decoded[island]:
+        # Long stretches hardly come twice and would fill the memory.
+        known = decoded[island] if len(island) <= 2 * MOST_CHARS else decoded.make(island)
+        for a, k, b in known:
             before = bisect_left(starts, b + at)
             if not before or reach[before - 1] <= a + at:
                 spans.append((a + at, k, b + at))
