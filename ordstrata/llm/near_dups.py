@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 from itertools import combinations
+from math import comb
 from operator import add
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ordstrata.llm.common import Cache, stored
 
 COMPONENTS = 48
-RADIUS = 19
+MISSED = 1e-5  # chance at most that a pair at the threshold is beyond the radius
 ERRORS = 1
 LANES = 3  # 16-bit components in a long, so that its sign bit stays free
 PACKED = [f"s{i}" for i in range(COMPONENTS // LANES)]
@@ -26,7 +27,29 @@ MOST_SENT = 200_000  # ids of at most this number are sent to all tasks, more ar
 ODD = np.random.default_rng(7).integers(1, 2**63, COMPONENTS + 3, dtype=np.uint64) | np.uint64(1)
 
 
-def chunks(n: int = COMPONENTS, radius: int = RADIUS, errors: int = ERRORS) -> list[range]:
+@cache
+def radius_of(percent: int) -> int:
+    """The least number of differing components that pairs of this similarity exceed with a chance
+    of at most ``MISSED``: components differ independently, each with the sets' dissimilarity."""
+    miss, beyond, radius = 1 - percent / 100, 0.0, COMPONENTS
+    while radius > 0:
+        beyond += comb(COMPONENTS, radius) * miss**radius * (1 - miss) ** (COMPONENTS - radius)
+        if beyond > MISSED:
+            break
+        radius -= 1
+    return radius
+
+
+def missed(percent: int) -> float:
+    """The chance that a pair of this similarity shares no key: every chunk has more errors than
+    allowed."""
+    miss, out = 1 - percent / 100, 1.0
+    for n in map(len, chunks(COMPONENTS, radius_of(percent))):
+        out *= 1 - sum(comb(n, e) * miss**e * (1 - miss) ** (n - e) for e in range(ERRORS + 1))
+    return out
+
+
+def chunks(n: int, radius: int, errors: int = ERRORS) -> list[range]:
     """Chunks of ``n`` components such that any two signatures that differ in at most ``radius``
     components differ in at most ``errors`` of them within some chunk: were there more than
     ``errors`` in each of m chunks, m * (errors + 1) > radius components would differ."""
@@ -105,12 +128,12 @@ def signed(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(sign, schema)
 
 
-def chunk_keys(sets: DataFrame) -> DataFrame:
+def chunk_keys(sets: DataFrame, percent: int) -> DataFrame:
     """(key, id): for every chunk and every choice of allowed errors, a hash of the components of
     the chunk that are left."""
     masks = [
         (c, [x for x in chunk if x not in missing])
-        for c, chunk in enumerate(chunks())
+        for c, chunk in enumerate(chunks(COMPONENTS, radius_of(percent)))
         for missing in combinations(chunk, ERRORS)
     ]
 
@@ -140,14 +163,13 @@ def distance(left: str, right: str) -> Column:
 
 
 def may_link(left: str, right: str, percent: int) -> Column:
-    """Signatures are within the radius, and neither the sizes nor the sketches rule a link out:
-    sets that share ``percent`` of their union differ in at most (100 - percent) / (100 + percent)
+    """Neither the sizes nor the sketches rule a link out, which no true link fails: sets that share ``percent`` of their union differ in at most (100 - percent) / (100 + percent)
     of their summed sizes."""
     a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
     sizes = 100 * F.least(a, b) >= percent * F.greatest(a, b)
     apart = [F.bit_count(F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))) for c in SKETCH]
     sketches = (100 + percent) * reduce(add, apart) <= (100 - percent) * (a + b)
-    return sizes & sketches & (distance(left, right) <= RADIUS)
+    return sizes & sketches
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -216,14 +238,16 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
     it, and that document is kept.
 
     Rows of equal sets become one class, grouped with partial minima, so copies cost no pairs. The
-    MinHash signature of a class has 48 components of 16 bits. Signatures within 19 differing
-    components surely share a key (:func:`chunks`); a pair at the similarity threshold is further
-    apart with a probability of 1e-5. Candidates are compared by signature, set size and a sketch
-    that never refuses a link, then confirmed on the whole sets, in two passes:
+    MinHash signature of a class has 48 components of 16 bits. Signatures within a radius of
+    differing components surely share a key (:func:`chunks`); the radius follows from ``percent``, so
+    that a pair at the similarity threshold is further apart with a probability of at most 1e-5
+    (:func:`radius_of`; :func:`missed` is the chance that it shares no key). Candidates are compared
+    by set size and a sketch, which never refuse a link, then confirmed on the whole sets, in two
+    passes:
 
     1. each class with the nearest first class of its keys: at most one pair per class;
     2. only within keys that still hold classes of different components: all pairs of different
-       components there within the distance. Every pair that shares a key is so either confirmed,
+       components there. Every pair that shares a key is so either confirmed,
        refused, or joined by a path already, and no link is lost.
 
     Large groups of near copies are joined in the first pass; what is left of a frequent key in the
@@ -243,7 +267,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
             *(F.first(c).alias(c) for c in [*PACKED, *SKETCH]),
         )
     )
-    keyed = stored(chunk_keys(classes))
+    keyed = stored(chunk_keys(classes, percent))
     firsts = (
         keyed.groupBy("key")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
