@@ -30,7 +30,7 @@ VOID = frozenset(
     " option".split()
 )
 ARTICLE = frozenset("article main".split())
-ASIDE = frozenset("nav header footer aside form menu dialog figure fieldset".split())
+ASIDE = frozenset("nav header footer aside form menu dialog fieldset".split())
 ASIDE_NAMES = re.compile(
     r"\b(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|newsletter"
     r"|subscri\w*|side-?bar|menu|nav\w*|breadcrumbs?|footer|header|masthead|comments?|repl(?:y|ies)"
@@ -53,6 +53,7 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []  # text, and whether it is in a link
     open_: list[tuple[str, bool, bool]] = []  # element, in an article, in something aside
+    where: dict[str, list[int]] = {}  # depths at which elements of a name are open
     linked, at, n = 0, 0, len(html)
 
     def close_block() -> None:
@@ -103,10 +104,10 @@ def blocks(html: str) -> list[Block]:
         if name in VOID or attributes.endswith("/"):
             continue
         if ending:
-            for depth in range(len(open_) - 1, max(-1, len(open_) - 65), -1):
-                if open_[depth][0] == name:
-                    del open_[depth:]
-                    break
+            if where.get(name):
+                depth = where[name][-1]
+                while len(open_) > depth:
+                    where[open_.pop()[0]].pop()
         else:
             _, article, aside = open_[-1] if open_ else ("", False, False)
             named = " ".join(
@@ -114,6 +115,7 @@ def blocks(html: str) -> list[Block]:
             )
             off = name in ASIDE or (name not in ("html", "body") and bool(ASIDE_NAMES.search(named)))
             on = name in ARTICLE or bool(name != "body" and ARTICLE_NAMES.search(named))
+            where.setdefault(name, []).append(len(open_))
             open_.append((name, article or (on and not off), aside or off))
     close_block()
     return out
@@ -172,6 +174,10 @@ LABELLED = [
     "<article><header><a href=/>Front</a></header><p>[[Trees grow slowly, and the oldest of them are"
     " thousands of years old.]]</p><nav><a href=/2>Next</a></nav><p>[[Oak]]</p><div class=promo>Get"
     " our tree book today for a small price in every shop</div></article>",
+    "<article><p>[[The bridge was built in three years, and its towers stand on the rock below.]]</p>"
+    "<figure class=wp-block-table><table><tr><td>[[Length]]<td>[[900 m]]</table><figcaption>[[The parts of"
+    " the bridge]]</figcaption></figure><figure><blockquote>[[It stands.]]</blockquote></figure></article>"
+    "<aside><figure><figcaption>See the pictures of all bridges of the country</figcaption></figure></aside>",
     "<div>Log in</div><div>[[Some pages open with a line of text that is fairly long and then they"
     " continue in the same way.]]</div><div>[[They close with a shorter one of only a dozen words,"
     " right below it.]]</div><div>Back to top</div>",
