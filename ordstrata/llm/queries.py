@@ -12,7 +12,9 @@ from ordstrata.llm.decontamination import contamination
 from ordstrata.llm.html_text import extract
 from ordstrata.llm.language_id import identify
 from ordstrata.llm.language_model import score_texts
+from ordstrata.llm.manifest import verified
 from ordstrata.llm.near_dups import near_duplicates
+from ordstrata.llm.oracles import MANIFEST_SQL
 from ordstrata.llm.packing import pack
 from ordstrata.llm.pii import personal_data
 from ordstrata.llm.quality_classifier import classify
@@ -78,6 +80,10 @@ def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_language_id,
@@ -90,6 +96,7 @@ def queries() -> dict[str, Query]:
         op8_language_model,
         op9_decontamination,
         op10_near_dups,
+        op12_merkle_manifest,
     ]
     return {query.__name__: query for query in found}
 
@@ -117,6 +124,6 @@ FROM sets LEFT JOIN classes USING (g) LEFT JOIN least_of USING (id)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """The near duplicates in exact SQL. Of the others, checksums, learned models and token ids are
-    beyond it; brute force is in tests/llm."""
-    return {"op10_near_dups": NEAR_DUPS_SQL}
+    """The near duplicates and the manifest in exact SQL. Of the others, learned models and token ids
+    are beyond it; brute force is in tests/llm."""
+    return {"op10_near_dups": NEAR_DUPS_SQL, "op12_merkle_manifest": MANIFEST_SQL}
