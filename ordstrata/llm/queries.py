@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordstrata.llm.collocations import collocations
 from ordstrata.llm.common import read_table
 from ordstrata.llm.decontamination import contamination
 from ordstrata.llm.html_text import extract
 from ordstrata.llm.language_id import identify
 from ordstrata.llm.language_model import score_texts
 from ordstrata.llm.manifest import verified
+from ordstrata.llm.mixing import mix_sources
 from ordstrata.llm.near_dups import near_duplicates
-from ordstrata.llm.oracles import MANIFEST_SQL
+from ordstrata.llm.oracles import COLLOCATIONS_SQL, MANIFEST_SQL, MIX_SQL
 from ordstrata.llm.packing import pack
 from ordstrata.llm.pii import personal_data
 from ordstrata.llm.quality_classifier import classify
@@ -80,10 +82,18 @@ def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_language_id,
@@ -96,7 +106,9 @@ def queries() -> dict[str, Query]:
         op8_language_model,
         op9_decontamination,
         op10_near_dups,
+        op11_mixing,
         op12_merkle_manifest,
+        op13_collocations,
     ]
     return {query.__name__: query for query in found}
 
@@ -124,6 +136,11 @@ FROM sets LEFT JOIN classes USING (g) LEFT JOIN least_of USING (id)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """The near duplicates and the manifest in exact SQL. Of the others, learned models and token ids
-    are beyond it; brute force is in tests/llm."""
-    return {"op10_near_dups": NEAR_DUPS_SQL, "op12_merkle_manifest": MANIFEST_SQL}
+    """The near duplicates, the mix, the manifest and the phrases in exact SQL. Of the others, learned
+    models and token ids are beyond it; brute force is in tests/llm."""
+    return {
+        "op10_near_dups": NEAR_DUPS_SQL,
+        "op11_mixing": MIX_SQL,
+        "op12_merkle_manifest": MANIFEST_SQL,
+        "op13_collocations": COLLOCATIONS_SQL,
+    }
