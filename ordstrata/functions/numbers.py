@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,17 +15,41 @@ def whole(text: Column) -> Column:
     return text.cast("bigint")
 
 
+def try_whole(text: Column) -> Column:
+    """Whole number, or NULL for other text."""
+    return text.try_cast("bigint")
+
+
+def _digits(text: Column, cast: Callable[[Column, str], Column]) -> tuple[Column, Column, Column]:
+    """Whether the text is short, its value if so, and else whether digits of it would be lost.
+
+    A text of at most ten characters without an exponent holds at most nine decimals."""
+    with_exponent = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E"))
+    short = (F.length(text) <= 10) & ~with_exponent
+    wide = cast(text, "decimal(38,18)")
+    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*[1-9])", 1))
+    exponent = F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,6})", 1)
+    shifted = F.when(exponent != "", decimals - exponent.try_cast("int")).otherwise(decimals)
+    return short, wide, (shifted > 9) | (wide != cast(wide, MONEY))
+
+
 def money(text: Column) -> Column:
     """Strict decimal number with every digit given: other text fails the job (ANSI mode), and so
-    does a number with more than nine decimals, which would lose some."""
-    wide = text.cast("decimal(38,18)")
-    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*[1-9])", 1))
-    lost = (decimals > 9) | (wide != wide.cast(MONEY))
-    return F.when(lost, F.raise_error(F.concat(F.lit("more than nine decimals: "), text))).otherwise(
-        wide.cast(MONEY)
+    does a number with more than nine decimals, written out or by its exponent, which would lose
+    some."""
+    short, wide, lost = _digits(text, Column.cast)
+    failed = F.raise_error(F.concat(F.lit("more than nine decimals: "), text))
+    return F.when(short, text.cast(MONEY)).otherwise(
+        F.when(lost, failed).otherwise(wide.cast(MONEY))
     )
 
 
+def try_money(text: Column) -> Column:
+    """The value of :func:`money`, or NULL where that fails."""
+    short, wide, lost = _digits(text, Column.try_cast)
+    return F.when(short, text.try_cast(MONEY)).otherwise(F.when(~lost, wide.try_cast(MONEY)))
+
+
 def rounded(value: Column, places: int) -> Column:
     """Round halves away from zero, on the decimal value where there is one; double out."""
     return F.round(value, places).cast("double")

@@ -31,11 +31,15 @@ def _row_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("\u001f", *parts)
 
 
+def row_hash(*columns: str) -> Column:
+    return F.xxhash64(_row_text(columns))
+
+
 def same_rows(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> bool:
     """Whether both hold the same rows of text columns, each as often, in any order: as many of
     them, and the same sum of their 64-bit hashes. One aggregate a side, without a shuffle of rows.
     """
-    hashed = F.xxhash64(_row_text(columns)).cast("decimal(38,0)")
+    hashed = row_hash(*columns).cast("decimal(38,0)")
     marks = [rows.agg(F.count("*"), F.sum(hashed)).first() for rows in (left, right)]
     return marks[0] == marks[1]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,25 +28,33 @@ def quality_report(rows: DataFrame, rules: dict[str, Column], key: list[Column])
     )
 
 
-def upsert(current: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
+def upsert(
+    current: DataFrame, changes: DataFrame, key: list[str], ignore: Sequence[str] = ()
+) -> DataFrame:
     """``current`` with the rows of ``changes`` (same columns, unique keys on each side) merged in
-    by ``key``, and a column ``change``: ``inserted``, ``updated`` or ``kept``.
+    by ``key``, and columns ``change``: ``inserted``, ``updated`` or ``kept``, and ``changed``: whether
+    the key occurs among the changes.
 
-    A changed row equal to the current one is kept. A null key matches nothing, so such rows stay
-    on both sides.
+    A changed row equal to the current one, but for columns to ``ignore``, is kept as it is. A null
+    key matches nothing, so such rows stay on both sides.
     """
     rest = [c for c in current.columns if c not in key]
+    compared = [c for c in rest if c not in ignore]
     old = current.select(*key, F.struct(*rest).alias("old"))
     new = changes.select(*key, F.struct(*rest).alias("new"))
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     change = (
         F.when(F.col("old").isNull(), "inserted")
-        .when(F.col("new").isNull() | F.col("old").eqNullSafe(F.col("new")), "kept")
+        .when(F.col("new").isNull() | same, "kept")
         .otherwise("updated")
     )
-    merged = old.join(new, key, "full").select(
-        *key, F.coalesce("new", "old").alias("row"), change.alias("change")
-    )
-    return merged.select(*key, "row.*", "change")
+    merged = old.join(new, key, "full").withColumn("change", change)
+    row = F.when(F.col("change") == "kept", F.col("old")).otherwise(F.col("new"))
+    return merged.select(
+        *key, row.alias("row"), "change", F.col("new").isNotNull().alias("changed")
+    ).select(*key, "row.*", "change", "changed")
 
 
 def category_dimension(rows: DataFrame, column: str, key: str) -> DataFrame:

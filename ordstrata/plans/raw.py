@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -15,9 +16,10 @@ def raw_customers(
     load_ts: dt.datetime,
     origin: str,
     row_id: Column | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
-    """Customers with an id, without the unnamed file columns, plus provenance."""
-    kept = keyed_rows(stage, "ID").select(*names(CUSTOMER_COLUMNS))
+    """Customers with an id, without the unnamed file columns, plus ``more`` columns and provenance."""
+    kept = keyed_rows(stage, "ID").select(*names(CUSTOMER_COLUMNS), *more)
     return with_provenance(kept, load_ts, origin, row_id)
 
 
@@ -26,7 +28,8 @@ def raw_orders(
     load_ts: dt.datetime,
     origin: str,
     row_id: Column | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
-    """Order lines with a customer id, plus provenance."""
-    kept = keyed_rows(stage, "COD_CLIENTE").select(*names(ORDER_COLUMNS))
+    """Order lines with a customer id, plus ``more`` columns and provenance."""
+    kept = keyed_rows(stage, "COD_CLIENTE").select(*names(ORDER_COLUMNS), *more)
     return with_provenance(kept, load_ts, origin, row_id)

@@ -69,6 +69,19 @@ RUN_LOG = T.StructType(
     ]
 )
 
+DELIVERIES = T.StructType(
+    [
+        _field("TABELA", T.StringType(), "history table"),
+        _field("ARQUIVO", T.StringType(), "file"),
+        _field("TAMANHO", T.LongType(), "length of the file in bytes"),
+        _field("DT_MODIFICACAO", T.TimestampType(), "modification time of the file"),
+        _field("DT_CARGA", T.TimestampType(), "time of the load"),
+        _field("ESTADO", T.StringType(), "INICIO, FIM or IGUAL"),
+        _field("QTD_LINHAS", T.LongType(), "rows of the file in the load"),
+        _field("SOMA_HASH", T.DecimalType(38, 0), "sum of the hashes of these rows"),
+    ]
+)
+
 
 def names(schema: T.StructType | list[T.StructField]) -> list[str]:
     return [field.name for field in schema]

@@ -13,16 +13,19 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordstrata.functions.numbers import range_bucket
+from ordstrata.operators.expectations import Gate
 
 LAYERS = ("stage", "raw", "silver", "gold")
 LOAD_COLUMN = "DT_CARGA"
 BUCKET_COLUMN = "FAIXA"
+REJECTED_COLUMN, REJECTED = "REJEITADO", "_rejeitado"
 
 
 def _quoted(text: str) -> str:
@@ -54,6 +57,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.namespace = namespace
+        self._appending = Lock()
         for layer in LAYERS:
             place = _quoted(f"{self.root}/{layer}")
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}_{layer}` LOCATION {place}")
@@ -72,6 +76,7 @@ class Lake:
         comment: str = "",
         cluster_by: Sequence[str] = (),
         bucket_by: tuple[str, Sequence[int]] | None = None,
+        gate: Gate | None = None,
     ) -> int:
         """Replace the table with ``rows`` and return how many there are.
 
@@ -79,7 +84,8 @@ class Lake:
         partition folder, values outside the ranges share one below and one above, none is lost.
         Inside it each value has a folder, so a filter on the column reads its files only.
         ``cluster_by`` arranges the rows by further columns inside; without it a frequent value is
-        spread over files by a hash of the row.
+        spread over files by a hash of the row. With a ``gate`` that the rows do not pass an error
+        is raised and the old version stays; the rules are counted while the rows are written.
         """
         schema = rows.schema
         keys = list(cluster_by)
@@ -89,28 +95,139 @@ class Lake:
             keys = [BUCKET_COLUMN, column, *(keys or [F.xxhash64(*schema.names)])]
         if keys:
             rows = arranged(rows, keys)
-        place = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
+        place = self._new_place(layer, table)
         written = Observation()
-        writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
+        measures = gate.measures() if gate else []
+        counted = rows.observe(written, F.count(F.lit(1)).alias("rows"), *measures)
+        writer = counted.write
         if bucket_by:
             writer = writer.partitionBy(BUCKET_COLUMN, column)
         writer.parquet(place)
         if bucket_by and not written.get["rows"]:
             # Without a partition there is no file; one without rows holds the columns.
             self.spark.createDataFrame([], rows.schema).write.mode("append").parquet(place)
+        if gate:
+            gate.check(f"{layer}.{table}", written.get, self.spark.read.parquet(place))
         # The type of a partition column is read off its folders.
+        typed = {bucket_by[0]} if bucket_by else set()
+        self._show(layer, table, schema, comment, place, place, typed)
+        return written.get["rows"]
+
+    def _new_place(self, layer: str, table: str) -> str:
+        return f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
+
+    def _show(
+        self,
+        layer: str,
+        table: str,
+        schema: T.StructType,
+        comment: str,
+        place: str,
+        folder: str,
+        typed: set[str] | frozenset[str] = frozenset(),
+    ) -> None:
+        """Point the table to ``folder``, a version at ``place`` or a part of one."""
         shown = [
             f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
-            if bucket_by and f.name == bucket_by[0]
+            if f.name in typed
             else f"`{f.name}`"
             for f in schema
         ]
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} ({_column_list(schema, False)})"
             f" COMMENT {_quoted(comment)} TBLPROPERTIES ('place' = {_quoted(place)})"
-            f" AS SELECT {', '.join(shown)} FROM parquet.`{place}`"
+            f" AS SELECT {', '.join(shown)} FROM parquet.`{folder}`"
         )
-        return written.get["rows"]
+
+    def replace_split(
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        rejected: Column,
+        columns: Sequence[str],
+        rejected_columns: Sequence[str],
+        comment: str = "",
+        gate: Gate | None = None,
+    ) -> tuple[int, int]:
+        """Replace ``table`` by ``columns`` of the good rows and ``<table>_rejeitado`` by
+        ``rejected_columns`` of the others, and return how many there are of each.
+
+        Both are written in one pass, into two folders of one version, and counted in it. A ``gate``
+        sees the good rows only."""
+        schema = rows.schema
+        place = self._new_place(layer, table)
+        marked = rows.withColumn(REJECTED_COLUMN, F.coalesce(rejected, F.lit(False)))
+        bad = F.col(REJECTED_COLUMN)
+        written = Observation()
+        measures = gate.measures(~bad) if gate else []
+        counted = marked.observe(
+            written, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"), *measures
+        )
+        counted.write.partitionBy(REJECTED_COLUMN).parquet(place)
+        found = written.get
+        parts = {}
+        for side, n in (("false", found["rows"]), ("true", found["rejected"])):
+            parts[side] = f"{place}/{REJECTED_COLUMN}={side}"
+            if not n:  # a side without rows has no folder
+                nothing = self.spark.createDataFrame([], schema)
+                nothing.write.mode("overwrite").parquet(parts[side])
+        if gate:
+            gate.check(f"{layer}.{table}", found, self.spark.read.parquet(parts["false"]))
+        good = T.StructType([schema[c] for c in columns])
+        others = T.StructType([schema[c] for c in rejected_columns])
+        self._show(layer, table + REJECTED, others, f"{comment}, rejected", place, parts["true"])
+        self._show(layer, table, good, comment, place, parts["false"])
+        return found["rows"], found["rejected"]
+
+    def replace_hashed(
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        key: str,
+        n_buckets: int,
+        comment: str = "",
+        gate: Gate | None = None,
+        most_skew: float = 4.0,
+    ) -> tuple[int, bool]:
+        """Replace the table with ``rows`` in ``n_buckets`` hash buckets of ``key``, sorted inside, and
+        return how many rows there are and whether the table has these buckets.
+
+        Grouping by the key and joins of tables with as many buckets of it need no shuffle then. A
+        bucket is read by one task, so where the fullest would hold more than ``most_skew`` times the
+        mean, as under a very frequent key, the table is written like other tables, whose shuffles
+        adaptive execution can split. The rows per bucket are counted first, by a pass that reads
+        the key and what decides which rows there are.
+        """
+        bucket = F.pmod(F.hash(key), F.lit(n_buckets))  # that of Spark's bucketed tables
+        sizes = [r["count"] for r in rows.groupBy(bucket.alias("bucket")).count().collect()]
+        if max(sizes, default=0) * n_buckets > most_skew * max(sum(sizes), n_buckets):
+            return self.replace(layer, table, rows, comment, gate=gate), False
+        place = self._new_place(layer, table)
+        version = f"{table}__{place.rsplit('/', 1)[-1]}"
+        written = Observation()
+        measures = gate.measures() if gate else []
+        counted = rows.repartition(n_buckets, key).observe(
+            written, F.count(F.lit(1)).alias("rows"), *measures
+        )
+        writer = counted.write.format("parquet").bucketBy(n_buckets, key).sortBy(key)
+        writer.option("path", place).saveAsTable(self.name(layer, version))
+        stored = self.spark.table(self.name(layer, version))
+        if gate:
+            gate.check(f"{layer}.{table}", written.get, stored)
+        shown = ", ".join(f"`{c}`" for c in rows.columns)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} ({_column_list(rows.schema, False)})"
+            f" COMMENT {_quoted(comment)} TBLPROPERTIES ('place' = {_quoted(place)})"
+            f" AS SELECT {shown} FROM {self.name(layer, version)}"
+        )
+        return written.get["rows"], True
+
+    def part(self, layer: str, table: str, rejected: bool) -> DataFrame:
+        """All columns of the good or the rejected rows of a table written by :meth:`replace_split`."""
+        side = str(rejected).lower()
+        return self.spark.read.parquet(f"{self.place(layer, table)}/{REJECTED_COLUMN}={side}")
 
     def place(self, layer: str, table: str) -> str:
         """Folder of the current version of a replaced table."""
@@ -130,6 +247,8 @@ class Lake:
         found = [status.getPath() for status in files.listStatus(current.getParent())]
         old = [path for path in found if path.getName() != current.getName()]
         for path in old:
+            bucketed = self.name(layer, f"{table}__{path.getName()}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {bucketed}")
             files.delete(path, True)
         return len(old)
 
@@ -172,9 +291,21 @@ class Lake:
         """Replace the table with an empty one of this schema."""
         self.replace(layer, table, self.spark.createDataFrame([], schema), comment)
 
+    def add_columns(self, layer: str, table: str, fields: Sequence[T.StructField]) -> list[str]:
+        """Add to a created table those of the columns that it lacks, and return their names; rows
+        written before have NULL there."""
+        known = {c.upper() for c in self.table(layer, table).columns}
+        new = T.StructType([f for f in fields if f.name.upper() not in known])
+        if new:
+            added = _column_list(new, True)
+            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD COLUMNS ({added})")
+        return new.names
+
     def append(self, layer: str, table: str, rows: DataFrame) -> None:
-        """Append to a created table, columns by position."""
-        rows.write.insertInto(self.name(layer, table))
+        """Append to a created table, columns by position. Appends of one run wait for each other:
+        writers that end at once would remove each other's files."""
+        with self._appending:
+            rows.write.insertInto(self.name(layer, table))
 
     def append_load(self, layer: str, table: str, rows: DataFrame, load_ts: dt.datetime) -> int:
         """Write one load of a history table and return how many rows it has.
