@@ -73,7 +73,7 @@ def raw_sql(select: str) -> str:
     return _with(select, _STAGE, _RAW)
 
 
-def _silver(select: str) -> str:
+def silver_sql(select: str) -> str:
     return _with(select, _STAGE, _RAW, _SILVER)
 
 
@@ -273,26 +273,26 @@ def oracle_sql() -> dict[str, str]:
             _STAGE,
             _RAW,
         ),
-        "results_of_two_runs": _silver(
+        "results_of_two_runs": silver_sql(
             f"SELECT r.*, DT_CARGA FROM ({GOLD['gold_cancellation_rate']}) r,"
             f" (VALUES ('{FIRST}'), ('{SECOND}')) AS v(DT_CARGA)"
         ),
         "drifted_headers": "SELECT * FROM (VALUES (2, 'EMAIL', 'NOME'), (3, 'NOME', 'EMAIL'),"
         " (14, NULL, 'TELEFONE')) AS v(position, expected, found)",
-        "job_silver_orders": _silver(_SILVER_ORDERS.replace(FIRST, SECOND)),
-        "job_gold_monthly_tiers": _silver(GOLD["gold_monthly_tiers"]),
-        "silver_customers": _silver(_SILVER_CUSTOMERS),
-        "silver_orders": _silver(_SILVER_ORDERS),
-        **{key: _silver(sql) for key, sql in GOLD.items()},
+        "job_silver_orders": silver_sql(_SILVER_ORDERS.replace(FIRST, SECOND)),
+        "job_gold_monthly_tiers": silver_sql(GOLD["gold_monthly_tiers"]),
+        "silver_customers": silver_sql(_SILVER_CUSTOMERS),
+        "silver_orders": silver_sql(_SILVER_ORDERS),
+        **{key: silver_sql(sql) for key, sql in GOLD.items()},
         "run_log": _log_of_two_loads(["raw_cadastro", "raw_pedido"]),
-        "log_newest_first": _silver(
+        "log_newest_first": silver_sql(
             "SELECT CAST(n AS BIGINT) AS ID_RODADA, DATA_RODADA, TABELA, QTD_INCLUIDO,"
             " 'silver' AS ORIGEM, 'SUCESSO' AS STATUS"
             f" FROM ({_counts({t: s for t, s in _LOGGED.items() if t in _TWO_RESULTS})})"
             f" JOIN (VALUES (1, '{FIRST}', '{_TWO_RESULTS[0]}'), (2, '{SECOND}', '{_TWO_RESULTS[1]}'))"
             " AS v(n, DATA_RODADA, TABELA) USING (TABELA)"
         ),
-        "run_medallion": _silver(
+        "run_medallion": silver_sql(
             f"SELECT TABELA, QTD_INCLUIDO, {_ORIGINS} AS ORIGEM, 'SUCESSO' AS STATUS"
             f" FROM ({_counts(_LOGGED)})"
         ),

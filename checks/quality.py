@@ -72,7 +72,7 @@ def upsert_snapshot(spark, sf_dir):
 
     orders = _orders(spark, sf_dir)
     old = snapshot(orders.filter(F.col("year") <= LAST_OLD_YEAR))
-    merged = upsert(old, snapshot(orders), ["o_custkey"])
+    merged = upsert(old, snapshot(orders), ["o_custkey"]).drop("changed")
     return merged.withColumn("last_day", F.col("last_day").cast("string"))
 
 

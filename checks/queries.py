@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import quality  # noqa: F401 - registers its queries
+from checks import deliveries, quality  # noqa: F401 - register their queries
 from checks.mapping import (
     AS_OF,
     CUSTOMER_FILE,

@@ -257,7 +257,7 @@ def test_every_step_is_tried(spark, lake):
 
     steps = {"a": ("x", fails), **{f"t{i}": ("x", lambda: 1) for i in range(9)}}
     with pytest.raises(ValueError, match="no"):
-        medallion._logged(lake, FIRST_LOAD, steps)
+        run_log.run_steps(lake, FIRST_LOAD, steps)
     states = [r.STATUS for r in lake.table("raw", "log_rodadas").collect()]
     assert sorted(states) == ["ERRO"] + ["SUCESSO"] * 9
 
@@ -315,5 +315,5 @@ def test_unchanged_deliveries_add_no_load(spark, lake, sf_dir):
         medallion.load_raw(lake, at, *paths, skip_unchanged=True)
     log = run_log.read_log(lake).filter(F.col("DATA_RODADA") == SECOND)
     newest = {r.TABELA: r for r in log.collect()}
-    assert (newest["raw_pedido"].QTD_INCLUIDO, newest["raw_pedido"].OBSERVACAO) == (0, medallion.UNCHANGED)
+    assert (newest["raw_pedido"].QTD_INCLUIDO, newest["raw_pedido"].OBSERVACAO) == (0, run_log.UNCHANGED)
     assert lake.table("raw", "raw_pedido").select(LOAD_COLUMN).distinct().count() == 1
