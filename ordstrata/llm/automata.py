@@ -94,7 +94,8 @@ def prefix_sums(rows: np.ndarray, weights: np.ndarray):
         yield length, starts[has], (upto[ends] - upto[starts])[has]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits of each number, well mixed."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -102,12 +103,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _signature(final, label, target, first, after, seed: int) -> np.ndarray:
     """A hash of a state: its final weight and the set of its arcs."""
-    arcs = _mixed(
+    arcs = mixed(
         label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
-        + _mixed(target.astype(np.uint64) + np.uint64(seed + 1))
+        + mixed(target.astype(np.uint64) + np.uint64(seed + 1))
     )
     upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(arcs, dtype=np.uint64)])
-    return _mixed(final.astype(np.uint64) + np.uint64(seed)) + upto[after] - upto[first]
+    return mixed(final.astype(np.uint64) + np.uint64(seed)) + upto[after] - upto[first]
 
 
 def _same(first_hash: np.ndarray, second_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

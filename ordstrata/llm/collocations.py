@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import count, pairwise
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from ordstrata.llm.automata import (
     Automaton,
     built,
     composed,
+    mixed,
     numbers,
     prefix_sums,
     summed,
@@ -30,23 +34,27 @@ LOWERED = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t",
     b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ",
 )
-# Words of an automaton of a shard, and words that a prefix range stands for. Both bound memory.
-SHARD_WORDS = RANGE_WORDS = 2_000_000
-# Ranges are cut at sampled sequences, which decide the sizes of ranges but no result. Their number
-# and the first letters of their words bound what is sent to all tasks.
-MOST_RANGES, SAMPLES, LETTERS = 100_000, 20, 64
-COUNTS = "range int, lang string, phrase string, a long"
-CELLS = "range int, lang string, words long, automaton binary"
+# Words of a shard, distinct sequences that a prefix range stands for before they are added, phrases
+# of a range of counts, and bytes of a text that are split at once. All bound memory.
+SHARD_WORDS, RANGE_ROWS, RANGE_PHRASES, CHUNK = 2_000_000, 1_000_000, 200_000, 4_000_000
+# Ranges are cut at sampled sequences, which decide the sizes of ranges but no result. The numbers
+# of ranges, sampled shards and samples and the first letters of words bound what is sent around.
+MOST_RANGES, SAMPLED_SHARDS, SAMPLES, LETTERS = 100_000, 32, 2_000, 64
+# Bits of the marks of frequent words or pairs, whatever their number: 16 MB.
+MARK_BITS, SLICE_BITS = 27, 20
+COUNTS = "lang string, phrase string, a long"
+SHARDS = "lang string, n long, own long, words binary, read binary"
+CELLS = "range int, lang string, automaton binary"
 NO_LANGUAGE = "und"
 
 Sequence = tuple[str, ...]
 
 
 class _Numbers(dict):
-    """Numbers words as they come, from 1."""
+    """Numbers words as they come, from 1. A line end is 0; nothing, between two blanks, is -1."""
 
     def __init__(self):
-        super().__init__()
+        super().__init__({b"\n": 0, b"": -1})
         self.next = count(1).__next__
 
     def __missing__(self, word: bytes) -> int:
@@ -61,66 +69,197 @@ class _Shard:
         self.number, self.read = _Numbers(), array("i")
 
     def add(self, text: str) -> None:
-        number = self.number.__getitem__
-        for piece in text.encode("utf-8", "surrogatepass").translate(LOWERED).split(b"\n"):
-            words = piece.split(b" ")
-            self.read.extend(map(number, filter(None, words)))
-            self.read.append(0)
-
-    def sequences(self) -> Iterator[tuple[list[str], np.ndarray]]:
-        """For up to ``SHARD_WORDS`` places at a time the words and, for the word at each place, the
-        sequence of it and up to four that follow in its piece."""
-        names = [w.decode("utf-8", "surrogatepass") for w in self.number]
-        read = np.concatenate([np.array(self.read, np.int32), np.zeros(LONGEST, np.int32)])
-        for begin in range(0, len(self.read), SHARD_WORDS):
+        data = text.encode("utf-8", "surrogatepass").translate(LOWERED)
+        at = 0
+        while at < len(data):
+            end = data.find(b" ", at + CHUNK)
+            end = len(data) if end < 0 else end
+            words = data[at:end].replace(b"\n", b" \n ").split(b" ")
+            self.read.extend(map(self.number.__getitem__, words))
+            at = end + 1
+        self.read.append(0)
+
+    def rows(self, lang: str) -> Iterator[tuple]:
+        """(lang, n, own, words, read) for up to ``SHARD_WORDS`` places at a time: how many words
+        there are, how many places, the sorted words, and their numbers at these places and up to
+        four more, which belong to the next row."""
+        read = np.array(self.read, np.int32)
+        read = read[read >= 0]
+        names = [w.decode("utf-8", "surrogatepass") for w in self.number if w not in (b"\n", b"")]
+        for begin in range(0, len(read), SHARD_WORDS):
             part = read[begin : begin + SHARD_WORDS + LONGEST - 1]
+            own = min(SHARD_WORDS, len(read) - begin)
             used = np.unique(part)
-            used = used[used > 0]
-            order = sorted(used.tolist(), key=lambda i: names[i - 1])
+            order = sorted(used[used > 0].tolist(), key=lambda i: names[i - 1])
             new = np.zeros(len(names) + 1, np.int32)
             new[order] = np.arange(1, len(order) + 1)
-            part = new[part]
-            at = np.flatnonzero(part[:SHARD_WORDS])
-            if begin + SHARD_WORDS >= len(self.read):
-                part = np.concatenate([part, np.zeros(LONGEST, np.int32)])
-            rows = np.zeros((len(at), LONGEST), np.int32)
-            rows[:, 0] = part[at]
-            for k in range(1, LONGEST):
-                rows[:, k] = np.where(rows[:, k - 1] > 0, part[at + k], 0)
-            yield [names[i - 1] for i in order], rows
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    lang = F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
-    return docs.select(lang, F.coalesce("text", F.lit("")).alias("text"))
+            n = int(np.count_nonzero(part[:own]))
+            yield lang, n, own, _packed([names[i - 1] for i in order]), _packed(new[part])
+
+
+def _packed(value) -> bytes:
+    if isinstance(value, np.ndarray):
+        value = value.astype(np.min_scalar_type(int(value.max(initial=0))))
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(value, 5))
+
 
+def _unpacked(data: bytes):
+    return pickle.loads(zstandard.decompress(data))
 
-def prefix_ranges(texts: DataFrame, range_words: int) -> list[Sequence]:
-    """Sequences (language, words) in order at which ranges of some ``range_words`` words begin."""
-    size = texts.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
-    n_words = (size.bytes or 0) / 6
-    n_ranges = min(ceil(n_words / range_words), MOST_RANGES)
-    if n_ranges < 2:
-        return []
-    fraction = min(1.0, SAMPLES * n_ranges * 3 / size.n)
-    rate = SAMPLES * n_ranges / (n_words * fraction)
 
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        random = np.random.default_rng(0)
+def shards(docs: DataFrame) -> DataFrame:
+    """The texts as numbered words, a row for each language of up to some ``SHARD_WORDS`` words."""
+    lang = F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
+    texts = docs.select(lang, F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, _Shard] = {}
+        size = 0
         for batch in batches:
-            found = []
             for lang, text in zip(batch.lang, batch.text):
-                shard = _Shard()
+                shard = held.setdefault(lang, _Shard())
+                size -= len(shard.read)
                 shard.add(text)
-                for words, rows in shard.sequences():
-                    for row in rows[random.random(len(rows)) < rate]:
-                        found.append((lang, [words[i - 1][:LETTERS] for i in row if i]))
-            yield pd.DataFrame(found, columns=["lang", "words"])
+                size += len(shard.read)
+                if size >= SHARD_WORDS:
+                    yield from _frames(held)
+                    held, size = {}, 0
+        yield from _frames(held)
+
+    return texts.mapInPandas(run, SHARDS)
+
+
+def _frames(held: dict[str, _Shard]) -> Iterator[pd.DataFrame]:
+    for lang, shard in held.items():
+        for row in shard.rows(lang):
+            yield pd.DataFrame([row], columns=["lang", "n", "own", "words", "read"])
+
+
+def _word_hash(lang: str, word: str) -> int:
+    return xxhash.xxh64_intdigest(f"{lang}\t{word}".encode("utf-8", "surrogatepass"))
+
+
+def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
+
+
+def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - MARK_BITS)
+    return (marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def frequent_marks(counts: DataFrame) -> Callable[[], np.ndarray]:
+    """Bits, of fixed number, with one set for the hash of each word or pair of words in ``counts``.
+
+    A word or pair without its bit is not there. One that has it may not be there either; it is
+    counted for nothing then."""
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for lang, phrase in zip(batch.lang, batch.phrase):
+                found.append([_word_hash(lang, word) for word in phrase.split(" ")])
+            hashes = np.array(found, np.uint64).reshape(len(found), -1)
+            one = hashes[:, 0] if hashes.shape[1] < 2 else _pair_hash(hashes[:, 0], hashes[:, 1])
+            place = (one >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+            yield pd.DataFrame({"slice": place >> SLICE_BITS, "place": place % (1 << SLICE_BITS)})
+
+    def bits(key: tuple, places: pd.DataFrame) -> pd.DataFrame:
+        found = np.zeros(1 << SLICE_BITS, np.uint8)
+        found[places.place] = 1
+        return pd.DataFrame([(key[0], np.packbits(found, bitorder="little").tobytes())], columns=["slice", "bits"])
+
+    rows = counts.mapInPandas(places, "slice long, place long").distinct().groupBy("slice")
+    width = 1 << (SLICE_BITS - 3)
+    marks = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    for row in rows.applyInPandas(bits, "slice long, bits binary").collect():  # 16 MB at most
+        marks[row.slice * width : (row.slice + 1) * width] = np.frombuffer(row.bits, np.uint8)
+    return shared(counts.sparkSession, marks)
+
+
+def _sequences(row, length: int, marks: list[np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words, sorted distinct sequences and how often they begin at the places of a shard.
+
+    Of ``length`` 1 they are the words, of 2 the pairs of frequent words, of 5 the sequences of three
+    to five words all of whose pairs are frequent, up to the first that is not."""
+    words: list[str] = _unpacked(row.words)
+    read = np.concatenate([_unpacked(row.read).astype(np.int64), np.zeros(LONGEST, np.int64)])
+    own, width = row.own, len(words) + 1
+    if length == 1:
+        n = np.bincount(read[:own], minlength=width)
+        n[0] = 0
+        rows = np.flatnonzero(n)
+        return words, rows.astype(np.int32)[:, None], n[rows]
+    hashes = np.array([0, *(_word_hash(row.lang, word) for word in words)], np.uint64)
+    frequent = _marked(marks[0], hashes)
+    frequent[0] = False
+    # For short use: only frequent words keep a number.
+    kept = np.flatnonzero(frequent)
+    new = np.zeros(width, np.int64)
+    new[kept] = np.arange(1, len(kept) + 1)
+    words, hashes = [words[i - 1] for i in kept], np.concatenate([hashes[:1], hashes[kept]])
+    read = new[read]
+    width = len(words) + 1
+    reach = own + LONGEST - 2
+    pair = (read[:reach] > 0) & (read[1 : reach + 1] > 0)
+    if length == 2:
+        at = np.flatnonzero(pair[:own])
+        keys, n = np.unique(read[at] * width + read[at + 1], return_counts=True)
+        return words, np.stack([keys // width, keys % width], 1).astype(np.int32), n
+    at = np.flatnonzero(pair)
+    pair[at] = _marked(marks[1], _pair_hash(hashes[read[at]], hashes[read[at + 1]]))
+    pair = np.concatenate([pair, np.zeros(LONGEST, bool)])
+    at = np.flatnonzero(pair[:own] & pair[1 : own + 1])
+    rows = np.zeros((len(at), LONGEST), np.int32)
+    going = np.ones(len(at), bool)
+    for k in range(LONGEST):
+        if k:
+            going &= pair[at + k - 1]
+        rows[:, k] = np.where(going, read[at + k], 0)
+    return words, *summed(rows, np.ones(len(rows), np.int64), len(words))
+
+
+def _used(words: list[str], rows: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The words that occur in the rows, and the rows in their numbers."""
+    used = np.unique(rows)
+    used = used[used > 0]
+    new = np.zeros(len(words) + 1, np.int32)
+    new[used] = np.arange(1, len(used) + 1)
+    return [words[i - 1] for i in used], new[rows]
+
+
+def _prefix_ranges(table: DataFrame, length: int, marks: Callable[[], list]) -> list[Sequence]:
+    """Sequences (language, words) in order at which ranges of some ``RANGE_ROWS`` sequences begin."""
+    n_shards = table.count()
+    fraction = min(1.0, SAMPLED_SHARDS / max(n_shards, 1))
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = marks()
+        for batch in batches:
+            for row in batch.itertuples():
+                words, rows, _ = _sequences(row, length, bits)
+                step = max(len(rows) // SAMPLES, 1)
+                found = [
+                    (row.lang, [words[i - 1][:LETTERS] for i in one if i], len(rows) / len(rows[::step]))
+                    for one in rows[::step]
+                ]
+                yield pd.DataFrame(found, columns=["lang", "words", "weight"])
+
+    sample = table if fraction == 1 else table.sample(fraction, 0)
+    rows = sample.mapInPandas(drawn, "lang string, words array<string>, weight double").collect()
+    return _cut_evenly([((r.lang, *r.words), r.weight / fraction) for r in rows], RANGE_ROWS)
 
-    drawn = texts.sample(fraction, 0).mapInPandas(sampled, "lang string, words array<string>")
-    places = sorted({(row.lang, *row.words) for row in drawn.collect()})
-    step = max(len(places) / n_ranges, 1)
-    return [places[int(i * step)] for i in range(1, n_ranges) if i * step < len(places)]
+
+def _cut_evenly(weighed: list[tuple[Sequence, float]], target: int) -> list[Sequence]:
+    total = sum(weight for _, weight in weighed)
+    n_ranges = min(ceil(total / target), MOST_RANGES)
+    borders, upto = [], 0.0
+    for place, weight in sorted(weighed):
+        upto += weight
+        if upto > (len(borders) + 1) * total / max(n_ranges, 1) and len(borders) + 1 < n_ranges:
+            borders.append(place)
+    return sorted(set(borders))
 
 
 def _cut(words: list[str], rows: np.ndarray, borders: list[Sequence]) -> list[int]:
@@ -141,73 +280,92 @@ def _cut(words: list[str], rows: np.ndarray, borders: list[Sequence]) -> list[in
     return found
 
 
-def shard_automata(texts: DataFrame, borders: list[Sequence]) -> DataFrame:
-    """Cells (range, lang, words, automaton): counts of the sequences of a shard of the texts that
-    fall into a prefix range, and how many words they begin at."""
-    borders_of = shared(texts.sparkSession, borders)
-
-    def cells(shards: dict[str, _Shard]) -> Iterator[tuple]:
-        borders = borders_of()
-        for lang, shard in shards.items():
-            first, last = bisect_right(borders, (lang,)), bisect_right(borders, (lang + "\0",))
-            own = [border[1:] for border in borders[first:last]]
-            for words, rows in shard.sequences():
-                rows, weights = summed(rows, np.ones(len(rows), np.int64), len(words))
-                cuts = [0, *_cut(words, rows, own), len(rows)]
-                for i, (begin, end) in enumerate(zip(cuts, cuts[1:])):
-                    if begin < end:
-                        part, weight = rows[begin:end], weights[begin:end]
-                        used = np.unique(part)
-                        used = used[used > 0]
-                        new = np.zeros(len(words) + 1, np.int32)
-                        new[used] = np.arange(1, len(used) + 1)
-                        kept = [words[i - 1] for i in used]
-                        automaton = built(kept, new[part], weight)
-                        yield first + i, lang, int(weight.sum()), automaton.packed()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shards: dict[str, _Shard] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.lang, batch.text):
-                shard = shards.setdefault(lang, _Shard())
-                size -= len(shard.read)
-                shard.add(text)
-                size += len(shard.read)
-                if size >= SHARD_WORDS:
-                    for cell in cells(shards):
-                        yield pd.DataFrame([cell], columns=["range", "lang", "words", "automaton"])
-                    shards, size = {}, 0
-        for cell in cells(shards):
-            yield pd.DataFrame([cell], columns=["range", "lang", "words", "automaton"])
+def count_phrases(
+    table: DataFrame, shortest: int, longest: int, least: int, marks: list[Callable[[], np.ndarray]]
+) -> DataFrame:
+    """(lang, phrase, a) of all phrases of ``shortest`` to ``longest`` words that occur ``least``
+    times or more in the shards.
 
-    return texts.mapInPandas(run, CELLS)
+    Each shard's sequences, sorted, become an automaton for each prefix range. The automata of a
+    range are united. Phrases that begin the first or the last sequence of a range may go on in its
+    neighbour; their counts in all ranges are added."""
+    spark = table.sparkSession
 
+    def bits() -> list[np.ndarray]:
+        return [mark() for mark in marks]
 
-def phrase_counts(cells: DataFrame, borders: list[Sequence], least: int) -> DataFrame:
-    """(range, lang, phrase, a) of all phrases of one to five words that occur ``least`` times or
-    more, in the range in which the phrase itself falls.
+    borders = _prefix_ranges(table, longest, bits)
+    borders_of = shared(spark, borders)
 
-    The automata of a range are united. Phrases that begin the first or the last sequence of a range
-    may go on in its neighbour; their counts in all ranges are added."""
-    borders_of = shared(cells.sparkSession, borders)
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        borders, own_bits = borders_of(), bits()
+        for batch in batches:
+            for row in batch.itertuples():
+                words, rows, weights = _sequences(row, longest, own_bits)
+                first = bisect_right(borders, (row.lang,))
+                last = bisect_right(borders, (row.lang + "\0",))
+                cuts = _cut(words, rows, [border[1:] for border in borders[first:last]])
+                found = []
+                for i, (begin, end) in enumerate(pairwise([0, *cuts, len(rows)])):
+                    if begin < end:
+                        automaton = built(*_used(words, rows[begin:end]), weights[begin:end])
+                        found.append((first + i, row.lang, automaton.packed()))
+                yield pd.DataFrame(found, columns=["range", "lang", "automaton"])
 
     def united(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        borders, found = borders_of(), []
+        found = []
         for lang, own in cells.groupby("lang", sort=False):
             words, rows, weights = union([Automaton.unpacked(a) for a in own.automaton])
             for length, starts, sums in prefix_sums(rows, weights):
+                if length < shortest:
+                    continue
                 picked = sums >= least
                 for edge in (rows[0], rows[-1]):
                     picked |= (rows[starts, :length] == edge[:length]).all(axis=1)
                 for at, n in zip(starts[picked], sums[picked]):
-                    phrase = [words[i - 1] for i in rows[at, :length]]
-                    place = bisect_right(borders, (lang, *phrase))
-                    found.append((place, lang, " ".join(phrase), int(n)))
-        return pd.DataFrame(found, columns=["range", "lang", "phrase", "a"])
+                    found.append((lang, " ".join(words[i - 1] for i in rows[at, :length]), int(n)))
+        return pd.DataFrame(found, columns=["lang", "phrase", "a"])
+
+    parts = table.mapInPandas(cells, CELLS).groupBy("range").applyInPandas(united, COUNTS)
+    added = parts.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    return stored(added.filter(F.col("a") >= least))
+
+
+def phrase_counts(table: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, a) of all phrases of one to five words that occur ``least`` times or more.
+
+    A phrase that often has no rarer part. So words are counted first, then pairs of frequent words,
+    then longer sequences of frequent pairs; what is frequent is sent to the tasks as marks of fixed
+    size, which let through what they cannot tell."""
+    words = count_phrases(table, 1, 1, least, [])
+    marks = [frequent_marks(words)]
+    pairs = count_phrases(table, 2, 2, least, marks)
+    marks.append(frequent_marks(pairs))
+    return words.union(pairs).union(count_phrases(table, 3, LONGEST, least, marks))
+
+
+def ranged(counts: DataFrame) -> tuple[DataFrame, list[Sequence]]:
+    """``counts`` with the ``range`` in which a phrase falls, and the borders of the ranges."""
+    n = counts.count()
+    fraction = min(1.0, SAMPLED_SHARDS * SAMPLES / max(n, 1))
+    sample = counts if fraction == 1 else counts.sample(fraction, 0)
+    drawn = [
+        ((r.lang, *(w[:LETTERS] for w in r.phrase.split(" "))), 1 / fraction)
+        for r in sample.select("lang", "phrase").collect()
+    ]
+    borders = _cut_evenly(drawn, RANGE_PHRASES)
+    borders_of = shared(counts.sparkSession, borders)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        borders = borders_of()
+        for batch in batches:
+            batch["range"] = [
+                bisect_right(borders, (lang, *phrase.split(" ")))
+                for lang, phrase in zip(batch.lang, batch.phrase)
+            ]
+            yield batch.astype({"range": "int32"})
 
-    parts = cells.groupBy("range").applyInPandas(united, COUNTS)
-    return parts.groupBy("range", "lang", "phrase").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    return stored(counts.mapInPandas(place, f"{COUNTS}, range int")), borders
 
 
 def _grams(counts: pd.DataFrame) -> dict[Sequence, int]:
@@ -305,9 +463,7 @@ def cut_counts(counts: DataFrame, borders: list[Sequence]) -> DataFrame:
     )
 
 
-def collocations(
-    docs: DataFrame, least: int = 100, most: int = 2000, range_words: int = RANGE_WORDS
-) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 100, most: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the best ``most`` phrases of each language of
     ``docs`` (lang, text).
 
@@ -320,11 +476,9 @@ def collocations(
     is not read. Texts are read whole, and words may be of any length. An empty table, or one
     without a phrase that often, gives no rows. Further columns are not read.
     """
-    texts = _texts(docs)
-    borders = prefix_ranges(texts, range_words)
-    cells = stored(shard_automata(texts, borders))
-    n_words = cells.groupBy("lang").agg(F.sum("words").alias("n"))
-    counts = stored(phrase_counts(cells, borders, least))
+    table = stored(shards(docs))
+    n_words = table.groupBy("lang").agg(F.sum("n").alias("n"))
+    counts, borders = ranged(phrase_counts(table, least))
     phrases = cut_counts(counts, borders).join(stored(n_words), "lang")
 
     def wide(name: str) -> str:
