@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordstrata.llm.common import Cache, shared, stored
+from ordstrata.llm.common import shared, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACES = f"{PIECES}, sequence_id long, offset long"
@@ -27,6 +29,37 @@ SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+class Recent(dict):
+    """Values of ``make`` by key. Keys lie in two generations: when the young one has grown to
+    ``limit`` bytes or so it becomes the old one, and what was in the old one and not asked for
+    again is forgotten. So memory is bounded, and frequent keys stay."""
+
+    ENTRY = 200
+
+    def __init__(self, make, limit: int = 100_000_000):
+        super().__init__()
+        self.make, self.limit = make, limit
+        self.size, self.old = 0, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self.size += len(key) + len(value) + self.ENTRY
+        if self.size > self.limit:
+            self.old, self.size = dict(self), 0
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordIds:
     """Little-endian 32-bit ids of a word. The tokenizer drops white space, so the ids of a text
     are those of its words in turn; each distinct word, and each part of one, is encoded once. Plain
@@ -38,18 +71,22 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.parts = Cache(self.of_part)
-        self.words = Cache(self.of_word)
+        self.words = Recent(self.of_word)
 
     def of_part(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(HIDDEN)
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        return pack_ids([t.id for t in self.model.tokenize(shown)])
 
     def of_word(self, word: bytes) -> bytes:
         text = word.decode()
-        if PLAIN.fullmatch(text):
-            return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if word.isalpha() and word.islower():  # of a to z: its own only part
+            return self.of_part(text)
+        if not PLAIN.fullmatch(text):
+            return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        parts = [part.encode() for part in PARTS.findall(text.lower())]
+        if len(parts) == 1 and parts[0] == word:
+            return self.of_part(text)
+        return b"".join([self.words[part] for part in parts])
 
     def __call__(self, text: str | None) -> bytes:
         return b"".join(map(self.words.__getitem__, (text or "").encode().split()))
@@ -58,9 +95,15 @@ class WordIds:
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int) -> DataFrame:
     """Token ids of every text plus ``end_id``, cut only where a document exceeds ``capacity``."""
 
+    # Each Python worker keeps its copy of a broadcast value, and so the words it knows, for the next
+    # tasks.
+    kept = docs.sparkSession.sparkContext.broadcast({})
+
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(tokenizer_file)
-        end = np.array([end_id], "<u4").tobytes()
+        ids_of = kept.value.get(tokenizer_file)
+        if ids_of is None:
+            ids_of = kept.value[tokenizer_file] = WordIds(tokenizer_file)
+        end = pack_ids([end_id])
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.doc_id, batch.text):
