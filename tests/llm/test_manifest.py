@@ -4,7 +4,6 @@ import hashlib
 import zlib
 from collections import Counter
 
-import pytest
 from pyspark.sql import functions as F
 
 from ordstrata.llm import manifest
@@ -64,10 +63,10 @@ def test_odd_rows(docs):
     assert 0 < sum(row[-1] * n for row, n in got.items()) < sum(got.values())
 
 
-@pytest.mark.parametrize("span", [1, 3])
-def test_many_levels(spark, monkeypatch, span):
+def test_many_levels(spark, monkeypatch):
     """Trees of sizes around powers of two, climbed in several steps."""
-    monkeypatch.setattr(manifest, "MOST_SPAN", span)
+    monkeypatch.setattr(manifest, "MOST_SPAN", 2)
+    monkeypatch.setattr(manifest, "MOST_SENT", 0)
     sizes = {"a": 1, "b": 2, "c": 3, None: 17, "é/0": 33}
     rows = [(i, None, lang, i, "x" * i) for lang, n in sizes.items() for i in range(n)]
     check(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))
