@@ -12,12 +12,14 @@ from ordstrata.llm.common import stored
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 2
+DIGEST_DIGITS = 64
 # Levels that one node row spans at most: 2 ** 10 hashes are gathered for it.
 MOST_SPAN = 10
 POWERS = [FAN**k for k in range(63)]
 TOP = ""
-NODES = "id string, parent string, steps array<struct<left string, right string>>"
-# Rows of (range, tree) counts, some 30 bytes each, that may be sent to all tasks.
+NODES = "id string, parent string, sides string, siblings binary, row long"
+# Rows that may be sent to all tasks: counts by range and tree, some 30 bytes each, and node rows,
+# each a hash or two for up to ten levels.
 MOST_SENT = 100_000
 RECURSION_ROWS = "spark.sql.cteRecursionRowLimit"
 
@@ -74,7 +76,9 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
         .withColumn("nth", F.monotonically_increasing_id())
         .withColumn("part", F.spark_partition_id())
     )
+    # A row for each range and tree in it.
     runs = placed.groupBy("part", "tree").agg(F.min("nth").alias("first"), F.count("*").alias("n"))
+    runs = runs.coalesce(1)
     before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = runs.select(
         "part",
@@ -89,6 +93,13 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return joined.withColumn("at", F.col("nth") + F.col("shift")).drop("part", "nth", "shift")
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """:func:`numbered` for few rows, by ``name``."""
+    tree = Window.partitionBy("tree")
+    at = F.row_number().over(tree.orderBy("name")) - 1
+    return rows.withColumns({"at": at.cast("long"), "n": F.count("*").over(tree)})
+
+
 def _power(exponent: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, POWERS)), (exponent + 1).cast("int"))
 
@@ -121,13 +132,14 @@ def _step(level: Column, place: Column) -> Column:
 
 
 def _climbed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From nodes (tree, id, at, hash, n, level, span) those ``span`` levels above, or the root of
-    the tree if that is nearer, and the rows (id, parent, steps) that link them.
+    """From nodes (tree, id, at, hash, n, level, span, row) those ``span`` levels above, or the root
+    of the tree if that is nearer, and the rows (id, parent, sides, siblings, row) that link them.
+    ``row`` is that of a leaf.
 
-    All nodes under one parent are gathered, ``FAN ** span`` at most. ``steps`` holds a node's
-    siblings on each level on the way."""
+    All nodes under one parent are gathered, ``FAN ** span`` at most. ``siblings`` are a node's on
+    each level on the way, see :func:`_bytes_of`."""
     below = F.least(F.col("span"), _levels(F.col("n"))).alias("rise")
-    members = F.sort_array(F.collect_list(F.struct("at", "id", "hash"))).alias("members")
+    members = F.sort_array(F.collect_list(F.struct("at", "id", "hash", "row"))).alias("members")
     block = F.floor(F.col("at") / _power(F.col("span"))).alias("block")
     blocks = nodes.groupBy("tree", "level", "n", "span", block).agg(members)
     blocks = blocks.withColumn("rise", below).withColumn("level_0", F.col("members.hash"))
@@ -146,6 +158,7 @@ def _climbed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
                 F.col("members"),
                 lambda member, place: F.struct(
                     member["id"].alias("id"),
+                    member["row"].alias("row"),
                     F.transform(
                         F.sequence(F.lit(0), F.col("rise") - 1),
                         lambda k: _step(
@@ -153,19 +166,43 @@ def _climbed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
                         ),
                     ).alias("steps"),
                 ),
-            ).alias("children"),
+            ).alias("climbs"),
             F.element_at(F.element_at(levels, F.col("rise") + 1), 1).alias("hash"),
+        ).withColumn(
+            "climbs",
+            F.transform(
+                "climbs",
+                lambda c: F.struct(
+                    c["id"].alias("id"), c["row"].alias("row"), *_bytes_of(c["steps"])
+                ),
+            ),
         )
     )
     above_id = node_id(F.col("tree"), F.col("level"), F.col("block")).alias("id")
-    above = blocks.select("tree", above_id, F.col("block").alias("at"), "hash", "n", "level", "span")
-    links = blocks.select(above_id.alias("parent"), F.inline("children"))
-    return above, links.select("id", "parent", "steps")
+    no_row = F.lit(None).cast("long").alias("row")
+    above = blocks.select(
+        "tree", above_id, F.col("block").alias("at"), "hash", "n", "level", "span", no_row
+    )
+    links = blocks.select(above_id.alias("parent"), F.inline("climbs"))
+    return above, links.select("id", "parent", "sides", "siblings", "row")
+
+
+def _bytes_of(steps: Column) -> tuple[Column, Column]:
+    """Steps in few bytes: ``sides`` has two digits a step, how many digests stand left and right, and
+    ``siblings`` these digests one after another."""
+    sides = F.transform(
+        steps,
+        lambda s: F.concat(
+            *((F.length(s[side]) / DIGEST_DIGITS).cast("int").cast("string") for side in ("left", "right"))
+        ),
+    )
+    digests = F.transform(steps, lambda s: F.concat(s["left"], s["right"]))
+    return F.array_join(sides, "").alias("sides"), F.unhex(F.array_join(digests, "")).alias("siblings")
 
 
 def tree_nodes(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Roots (tree, id, hash) of the trees whose lowest nodes are given, and tables of rows (id,
-    parent, steps) that lead from every node to its root.
+    parent, sides, siblings, row) that lead from every node to its root.
 
     A table stands for several levels, as evenly as may be, so that its nodes have many parents. A
     tree of one node has no row: it is its own root.
@@ -176,8 +213,8 @@ def tree_nodes(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     todo = stored(nodes.withColumns({"level": F.lit(0), "span": span}))
     roots, links = [], []
     while True:
-        roots.append(todo.filter("n = 1").select("tree", "id", "hash"))
-        todo = todo.filter("n > 1")
+        roots.append(todo.filter("n = 1").select("tree", "id", "hash").repartition(1))
+        todo = _gathered(todo.filter("n > 1"))
         if todo.isEmpty():
             break
         todo, linked = _climbed(todo)
@@ -185,18 +222,24 @@ def tree_nodes(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     found = roots[0]
     for more in roots[1:]:
         found = found.union(more)
-    return stored(found), links
+    return stored(found.coalesce(1)), links
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Few rows in one partition, which saves the shuffles of what follows; others as they are."""
+    return rows.coalesce(1) if rows.limit(MOST_SENT + 1).count() <= MOST_SENT else rows
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """Tables ``subroots`` (tree, id, hash), ``nodes`` (id, parent, steps) and ``lowest`` (row, id),
-    and id and hash of the root; no root for an empty table."""
+    """Tables ``subroots`` (tree, id, hash), ``leaves`` and ``nodes`` (id, parent, sides, siblings,
+    row), which are the lowest and the higher nodes, and the hash of the root, which is None for an
+    empty table.
+    """
 
     subroots: DataFrame
+    leaves: DataFrame
     nodes: DataFrame
-    lowest: DataFrame
-    root_id: str | None
     root: str | None
 
 
@@ -205,40 +248,72 @@ def manifest(rows: DataFrame) -> Manifest:
     by hash, so copies of a row give the same manifest in any order."""
     ordered = numbered(rows.select("tree", "doc_id", "leaf", "row"), ["doc_id", "leaf", "row"])
     leaf_id = node_id(F.col("tree"), F.lit(0), F.col("at")).alias("id")
-    lowest = stored(ordered.select("tree", leaf_id, "at", F.col("leaf").alias("hash"), "n", "row"))
-    subroots, links = tree_nodes(lowest.drop("row"))
+    subroots, links = tree_nodes(
+        ordered.select("tree", leaf_id, "at", F.col("leaf").alias("hash"), "n", "row")
+    )
     over = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("name"), "id", "hash")
-    root, more = tree_nodes(numbered(over, ["name"]).drop("name"))
-    nodes = rows.sparkSession.createDataFrame([], NODES)
-    for linked in [*links, *more]:
+    top = numbered(over, ["name"]) if over.count() > MOST_SENT else _ranked(over.coalesce(1))
+    root, more = tree_nodes(top.withColumn("row", F.lit(None).cast("long")).drop("name"))
+    nothing = rows.sparkSession.createDataFrame([], NODES)
+    nodes = nothing
+    for linked in [*links[1:], *more]:
         nodes = nodes.union(linked)
     found = root.first()  # one row, or none for an empty table
-    root_id, root_hash = (found["id"], found["hash"]) if found else (None, None)
-    return Manifest(subroots, stored(nodes), lowest.select("row", "id"), root_id, root_hash)
+    return Manifest(
+        subroots, links[0] if links else nothing, stored(nodes), found["hash"] if found else None
+    )
 
 
+# A row holds the siblings that it takes next; behind the root there are none, and no place. Digests
+# are hashed as hex text, and kept as bytes.
 CLIMB = """
 WITH RECURSIVE climb MAX RECURSION LEVEL 100 AS (
-  SELECT row, id AS place, given AS folded, '' AS proof FROM {start}
+  SELECT doc_id, tree, leaf, place, sides, siblings, given AS folded, CAST('' AS BINARY) AS proof
+  FROM {start}
   UNION ALL
-  SELECT row, parent, aggregate(steps, folded, (h, s) -> sha2(concat(s.left, h, s.right), 256)),
-    concat(proof, array_join(transform(steps, s -> concat(s.left, s.right)), ''))
-  FROM climb JOIN {nodes} ON id = place)
-SELECT row, folded, sha2(proof, 256) AS proof_sha256 FROM climb WHERE place = {root_id}
+  SELECT {hint} doc_id, tree, leaf, n.parent, n.sides, n.siblings, aggregate(
+      sequence(0, CAST(length(c.sides) / 2 AS INT)), named_struct('h', folded, 'done', 0),
+      (fold, k) -> if(k = 0, fold, named_struct(
+        'h', sha2(concat(
+          lower(hex(substring(c.siblings, 32 * fold.done + 1, 32 * int(substring(c.sides, 2 * k - 1, 1))))),
+          fold.h,
+          lower(hex(substring(c.siblings, 32 * (fold.done + int(substring(c.sides, 2 * k - 1, 1))) + 1,
+            32 * int(substring(c.sides, 2 * k, 1)))))), 256),
+        'done', fold.done + int(substring(c.sides, 2 * k - 1, 1)) + int(substring(c.sides, 2 * k, 1)))),
+      fold -> fold.h),
+    concat(proof, c.siblings)
+  FROM climb c LEFT JOIN {nodes} n ON n.id = c.place WHERE c.place IS NOT NULL)
+SELECT doc_id, tree, leaf, folded, sha2(lower(hex(proof)), 256) AS proof_sha256
+FROM climb WHERE place IS NULL
 """
 
 
 def climbed(rows: DataFrame, tree: Manifest) -> DataFrame:
-    """(row, folded, proof_sha256) of every row of ``rows`` (row, given): the root that follows from
-    the hash that was ``given`` and the siblings of the manifest, and the hash of these siblings.
+    """(doc_id, tree, leaf, folded, proof_sha256) of every row of :func:`leaves`: the root that follows
+    from the hash that was ``given`` and the siblings of the manifest, and the hash of these siblings.
 
-    One recursive query takes all rows up together, each by its own chain of parents."""
+    One recursive query takes all rows up together, each by its own chain of parents. A leaf brings
+    its own node row; the higher ones are few, one for hundreds of rows, and sent to all tasks where
+    their number allows it."""
     spark = rows.sparkSession
+    # The leaf of a tree of one row is the root of that tree.
+    alone = node_id(F.col("tree"), F.lit(0), F.lit(0))
+    start = rows.join(
+        tree.leaves.select("row", "parent", "sides", "siblings"), "row", "left"
+    ).select(
+        "doc_id",
+        "tree",
+        "leaf",
+        F.coalesce("parent", alone).alias("place"),
+        F.coalesce("sides", F.lit("")).alias("sides"),
+        F.coalesce("siblings", F.lit(b"")).alias("siblings"),
+        "given",
+    )
+    hint = "/*+ BROADCAST(n) */" if tree.nodes.count() <= MOST_SENT else ""
     before = spark.conf.get(RECURSION_ROWS, None)
     spark.conf.set(RECURSION_ROWS, "-1")  # any number of rows
     try:
-        start = rows.select("row", "given").join(tree.lowest, "row")
-        return stored(spark.sql(CLIMB, start=start, nodes=tree.nodes, root_id=tree.root_id or ""))
+        return stored(spark.sql(CLIMB.replace("{hint}", hint), start=start, nodes=tree.nodes))
     finally:
         if before is None:
             spark.conf.unset(RECURSION_ROWS)
@@ -261,7 +336,7 @@ def verified(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     tree = manifest(rows)
     subroots = tree.subroots.select("tree", F.col("hash").alias("subroot"))
     return (
-        rows.join(climbed(rows, tree), "row")
+        climbed(rows, tree)
         .join(subroots, "tree")
         .select(
             "doc_id",
