@@ -136,13 +136,17 @@ def votes() -> list[Column]:
 
 def posterior(names: list[str], prior: float, accuracy: dict[str, tuple[float, float]]) -> Column:
     """Probability that a text is good, from its votes and the rules' accuracies."""
-    evidence = [
-        F.when(F.col(n) == 1, log(on_good / (1 - on_bad)))
-        .when(F.col(n) == -1, log((1 - on_good) / on_bad))
-        .otherwise(0.0)
-        for n, (on_good, on_bad) in ((n, accuracy[n]) for n in names)
-    ]
-    return 1 / (1 + F.exp(-reduce(add, evidence, F.lit(log(prior / (1 - prior))))))
+    prior_odds = log(prior / (1 - prior))
+    evidence = []
+    for name in names:
+        on_good, on_bad = accuracy[name]
+        # By vote -1, 0 and 1. An array is an object of the generated code, where numbers would be
+        # its text and each round of the estimate compile and keep code of its own.
+        weights = [log((1 - on_good) / on_bad), 0.0, log(on_good / (1 - on_bad))]
+        if not evidence:
+            weights = [prior_odds + w for w in weights]
+        evidence.append(F.get(F.array(*map(F.lit, weights)), F.col(name) + 1))
+    return 1 / (1 + F.exp(-reduce(add, evidence)))
 
 
 def estimate(patterns: DataFrame, names: list[str], rounds: int = 20) -> tuple[float, dict]:
@@ -162,12 +166,15 @@ def estimate(patterns: DataFrame, names: list[str], rounds: int = 20) -> tuple[f
     for _ in range(rounds):
         on = {}
         for n in names:
-            on[f"{n}_g"] = F.sum(F.when(F.col(n) == 1, F.col("n") * good).otherwise(0.0))
-            on[f"{n}_gv"] = F.sum(F.when(F.col(n) != 0, F.col("n") * good).otherwise(0.0))
-            on[f"{n}_b"] = F.sum(F.when(F.col(n) == -1, F.col("n") * (1 - good)).otherwise(0.0))
-            on[f"{n}_bv"] = F.sum(F.when(F.col(n) != 0, F.col("n") * (1 - good)).otherwise(0.0))
-        sums = patterns.agg(
-            F.sum(F.col("n") * good).alias("good"),
+            on[f"{n}_g"] = F.sum(F.when(F.col(n) == 1, F.col("as_good")).otherwise(0.0))
+            on[f"{n}_gv"] = F.sum(F.when(F.col(n) != 0, F.col("as_good")).otherwise(0.0))
+            on[f"{n}_b"] = F.sum(F.when(F.col(n) == -1, F.col("as_bad")).otherwise(0.0))
+            on[f"{n}_bv"] = F.sum(F.when(F.col(n) != 0, F.col("as_bad")).otherwise(0.0))
+        weighed = patterns.withColumn("good", good).withColumns(
+            {"as_good": F.col("n") * F.col("good"), "as_bad": F.col("n") * (1 - F.col("good"))}
+        )
+        sums = weighed.agg(
+            F.sum("as_good").alias("good"),
             F.sum("n").alias("all"),
             *(v.alias(k) for k, v in on.items()),
         ).first()
