@@ -43,6 +43,16 @@ def _delivery_lake(spark: SparkSession) -> Lake:
     return lake
 
 
+def _loads_of_stage(lake: Lake, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A load of customers and one of order lines, from stage tables written here."""
+    lake.replace("stage", "stg_cadastro", stage_customers(lake.spark, sf_dir))
+    lake.replace("stage", "stg_pedido", stage_orders(lake.spark, sf_dir))
+    return (
+        raw_customers(lake.table("stage", "stg_cadastro"), FIRST_LOAD, "x"),
+        raw_orders(lake.table("stage", "stg_pedido"), FIRST_LOAD, "x"),
+    )
+
+
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_unnamed(stage_customers(spark, sf_dir))
 
@@ -307,10 +317,9 @@ def merged_customers(spark, sf_dir):
 def bucketed_avg_ticket(spark, sf_dir):
     """Order totals joined to customers, both silver tables in buckets of the customer."""
     lake = new_lake(spark)
-    tables = {
-        "pedido": silver_orders(raw_orders(stage_orders(spark, sf_dir), FIRST_LOAD, "x")),
-        "cadastro": silver_customers(raw_customers(stage_customers(spark, sf_dir), FIRST_LOAD, "x"), AS_OF),
-    }
+    # The buckets are counted before they are written; both passes read one written load.
+    people, lines = _loads_of_stage(lake, sf_dir)
+    tables = {"pedido": silver_orders(lines), "cadastro": silver_customers(people, AS_OF)}
     for table, rows in tables.items():
         lake.replace_hashed("silver", table, rows, "ID_CLIENTE", _BUCKETS)
     return gold.avg_ticket_month(lake.table("silver", "pedido"), lake.table("silver", "cadastro"))

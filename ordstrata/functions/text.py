@@ -29,8 +29,9 @@ def trim_ws(text: Column) -> Column:
     whitespace after it.
     """
     plain = F.trim(text)
-    spaces, one = F.lit(WHITESPACE), F.lit(1)
-    unstripped = F.contains(spaces, F.left(plain, one)) | F.contains(spaces, F.right(plain, one))
+    spaces = F.lit(WHITESPACE)
+    first, last = F.substring(plain, 1, 1), F.substring(plain, -1, 1)
+    unstripped = F.contains(spaces, first) | F.contains(spaces, last)
     return F.when(unstripped, F.btrim(text, spaces)).otherwise(plain)
 
 

@@ -14,7 +14,7 @@ from ordstrata.functions.text import trim_ws
 def keyed_rows(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose key is neither NULL, blank nor the repeated header text."""
     text = trim_ws(F.col(key))
-    return rows.filter(F.col(key).isNotNull() & (text != "") & (text != key))
+    return rows.filter(F.col(key).isNotNull() & ~text.isin("", key))
 
 
 def random_id() -> Column:

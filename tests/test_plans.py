@@ -1,13 +1,18 @@
 """What the plans must look like to hold at scale."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import deliveries
 from checks.queries import queries
 from ordstrata.plans import gold
 from ordstrata.plans.gold import GOLD_TABLES, Rules
+from ordstrata.plans.raw import raw_orders
+from ordstrata.plans.silver import silver_orders
+from ordstrata.schemas import STAGE_ORDERS
 from tests_support import hot_customer
 
 LAZY = [key for key in queries() if key.startswith(("gold_", "silver_", "raw_"))]
@@ -93,3 +98,33 @@ def test_one_frequent_customer_is_split_in_the_join(spark, tmp_path):
     assert "skew=true" in plan
     assert found[gold.OPTED_IN].QTD_PEDIDOS == n_orders
     assert found[gold.OPTED_IN].QTD_CLIENTES == customers.count() - 1
+
+
+def test_orders_from_stage_to_silver_stay_compilable(spark, tmp_path):
+    """HotSpot leaves methods above 8,000 bytes of code to its interpreter."""
+    stage = ", ".join(f"{field.name} string" for field in STAGE_ORDERS)
+    spark.createDataFrame([], stage).write.parquet(f"{tmp_path}/stage")
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    lines = silver_orders(raw_orders(spark.read.parquet(f"{tmp_path}/stage"), at, "x"))
+    shown = spark._jvm.PythonSQLUtils.explainString(lines._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) <= 8000
+
+
+@pytest.mark.parametrize("key", ["bucketed_avg_ticket"])
+def test_order_lines_are_joined_once(spark, sf_dir, monkeypatch, key):
+    lines = deliveries.stage_orders(spark, sf_dir).count()
+    seen = spark.sparkContext.accumulator(0)
+
+    def joined(session, folder, build=deliveries.stage_orders):
+        def passed(batches):
+            for batch in batches:
+                seen.add(len(batch))
+                yield batch
+
+        rows = build(session, folder)
+        return rows.mapInPandas(passed, rows.schema)
+
+    monkeypatch.setattr(deliveries, "stage_orders", joined)
+    queries()[key](spark, sf_dir).collect()
+    assert seen.value == lines
