@@ -401,10 +401,9 @@ def report_ascending(spark, sf_dir):
 def log_in_order(spark, sf_dir):
     """The log of four loads of two tables, newest rows first."""
     lake = _delivery_lake(spark)
-    rows = {
-        "raw_cadastro": raw_customers(stage_customers(spark, sf_dir), FIRST_LOAD, "x"),
-        "raw_pedido": raw_orders(stage_orders(spark, sf_dir), FIRST_LOAD, "x"),
-    }
+    # Every load takes the rows of stage tables that are written once, as in the job.
+    people, lines = _loads_of_stage(lake, sf_dir)
+    rows = {"raw_cadastro": people, "raw_pedido": lines}
     for at in _DAYS[:4]:
         steps = {t: ("x", lambda t=t, r=r, at=at: lake.append_load("raw", t, r, at)) for t, r in rows.items()}
         run_steps(lake, at, steps)

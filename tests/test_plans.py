@@ -111,7 +111,7 @@ def test_orders_from_stage_to_silver_stay_compilable(spark, tmp_path):
     assert sizes and max(sizes) <= 8000
 
 
-@pytest.mark.parametrize("key", ["bucketed_avg_ticket"])
+@pytest.mark.parametrize("key", ["log_in_order", "bucketed_avg_ticket"])
 def test_order_lines_are_joined_once(spark, sf_dir, monkeypatch, key):
     lines = deliveries.stage_orders(spark, sf_dir).count()
     seen = spark.sparkContext.accumulator(0)
