@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -317,3 +318,20 @@ def test_unchanged_deliveries_add_no_load(spark, lake, sf_dir):
     newest = {r.TABELA: r for r in log.collect()}
     assert (newest["raw_pedido"].QTD_INCLUIDO, newest["raw_pedido"].OBSERVACAO) == (0, run_log.UNCHANGED)
     assert lake.table("raw", "raw_pedido").select(LOAD_COLUMN).distinct().count() == 1
+
+
+def test_text_layers_hold_plain_text_and_silver_dictionaries(spark, lake, tmp_path):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "c string").coalesce(1)
+    lake.replace("stage", "t", rows)
+    lake.replace_split("stage", "split", rows, F.col("c") == "b", ["c"], ["c"])
+    lake.create("raw", "t", T.StructType.fromDDL("c string, DT_CARGA timestamp"), "", "DT_CARGA")
+    lake.append_load("raw", "t", rows, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    lake.replace("silver", "t", rows)
+    dictionaries = {}
+    for file in tmp_path.rglob("*.parquet"):
+        found = pq.ParquetFile(file).metadata
+        if found.num_rows:
+            column = found.row_group(0).column(0)
+            dictionaries.setdefault(file.relative_to(tmp_path).parts[0], set()).add(column.has_dictionary_page)
+    assert dictionaries == {"stage": {False}, "raw": {False}, "silver": {True}}
+    assert sorted(r.c for r in lake.table("raw", "t").collect()) == ["a", "a", "b"]
