@@ -9,30 +9,39 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordstrata.llm.common import Cache, shared, stored
+from ordstrata.llm.common import shared, stored
 from ordstrata.llm.language_id import held_out
-from ordstrata.llm.near_dups import mixed
+from ordstrata.llm.pair_blocks import (
+    BY_FIRST,
+    BY_SECOND,
+    END,
+    KNOWN,
+    TEXTS,
+    Vocabulary,
+    pack,
+    pair_blocks,
+    pair_keys,
+    part_of,
+    place,
+    tokens,
+    unpack,
+    unpacked,
+    word_hash,
+)
 
-END = b" "  # no word holds a blank
 MODULUS = 7
 FLUSH = 300_000
-PAIRS_AT_ONCE = 1_000_000
+PAIRS_IN_BLOCK = 2_000_000
 TASKS = 16  # groups of contexts that are seated side by side
+AT_ONCE = 1_000_000  # tokens that are seated at once, and sums that a task keeps
+SLICE = 100_000
 ONE_BY_ONE = 64  # customers of a dish that are seated singly; further ones in blocks
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, 3) - 2**63
-
-
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]  # both on ASCII alone
-
-
 def token_counts(docs: DataFrame) -> DataFrame:
     """(h, n): how often each distinct token occurs, summed in each task first."""
 
@@ -56,57 +65,18 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 def pair_counts(docs: DataFrame, classes: dict[int, int]) -> DataFrame:
     """(u, w, n): pairs of classes of neighbouring tokens; a text begins after an end. There are at
-    most the square of the classes, kept as one array in each task."""
-    load, size = shared(docs.sparkSession, classes), len(classes) + 1
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = load()
-        ids = Cache(lambda w: known.get(word_hash(w), size - 1))
-        counts = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for text in batch.text:
-                words = [END, *tokens(text)]
-                seen = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-                codes, n = np.unique(seen[:-1] * size + seen[1:], return_counts=True)
-                counts[codes] += n
-        codes = np.flatnonzero(counts)
-        yield pd.DataFrame({"u": codes // size, "w": codes % size, "n": counts[codes]})
-
-    counted = docs.select("text").mapInPandas(count, "u long, w long, n long")
-    return counted.groupBy("u", "w").agg(F.sum("n").alias("n"))
-
-
-def pair_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """64-bit names of pairs of token hashes."""
-    first = mixed(u.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return mixed(first + w.astype(np.int64).view(np.uint64)).view(np.int64)
-
-
-def word_pairs(docs: DataFrame) -> DataFrame:
-    """(u, w, n): how often each token (by hash) follows each other one, a text after an end; summed
-    in each task first. No pair is left out."""
-
-    def summed(hashes: list[np.ndarray]) -> pd.DataFrame:
-        u = np.concatenate([h[:-1] for h in hashes])
-        w = np.concatenate([h[1:] for h in hashes])
-        _, at, n = np.unique(pair_keys(u, w), return_index=True, return_counts=True)
-        return pd.DataFrame({"u": u[at], "w": w[at], "n": n})
+    most the square of the classes."""
+    known = Vocabulary(classes, np.zeros(len(classes), np.int64), 0.0)
+    blocks = pair_blocks(docs.withColumn("held_out", F.lit(False)), known, 1)
+    size = Sizes(len(classes), len(classes))
+    return class_pairs(docs.sparkSession, collected(first_sums(blocks, size), size).cells)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, held, size = Cache(word_hash), [], 0
-        for batch in batches:
-            for text in batch.text:
-                words = [END, *tokens(text)]
-                held.append(np.fromiter(map(ids.__getitem__, words), np.int64, len(words)))
-                size += len(words)
-                if size >= PAIRS_AT_ONCE:
-                    yield summed(held)
-                    held, size = [], 0
-        if held:
-            yield summed(held)
 
-    counted = docs.select("text").mapInPandas(count, "u long, w long, n long")
-    return counted.groupBy("u", "w").agg(F.sum("n").alias("n"))
+def class_pairs(spark: SparkSession, cells: np.ndarray) -> DataFrame:
+    """(u, w, n) of a square of counts."""
+    u, w = np.nonzero(cells)
+    n = cells[u, w].astype(np.int64)
+    return stored(spark.createDataFrame(pa.table({"u": u, "w": w, "n": n})))
 
 
 def seat(
@@ -140,33 +110,24 @@ def seat(
             n_tables = n_tables[here]
         new = (strength + discount * n_tables) * parent[here]
         old = np.maximum(seated - discount * t, 1e-12)
-        more = np.minimum(customers[here] - seated, step)
-        tables[here] = t + rng.binomial(more, new / (new + old))
+        if step == 1:
+            tables[here] = t + (rng.random(len(here)) < new / (new + old))
+        else:
+            more = np.minimum(customers[here] - seated, step)
+            tables[here] = t + rng.binomial(more, new / (new + old))
         seated += step
     return np.minimum(tables, customers)
 
 
-class Model(NamedTuple):
-    """``classes``: class of each frequent token by hash, all others are the last class. ``pairs``:
-    logarithm of the probability of a class after another. ``known``: count and logarithm of the
-    probability within the last class (and of what its restaurant leaves to the parent), of the most
-    frequent tokens by hash. ``keys`` and ``gains``: the most frequent pairs, sorted."""
-
-    classes: dict[int, int]
-    pairs: np.ndarray
-    known: dict[int, tuple[int, float]]
-    keys: np.ndarray
-    gains: np.ndarray
-    unknown: float
-    n_tokens: int
-    n_types: int
-
-
 def discount_of(rows: DataFrame) -> float:
     """The share of single counts, as of absolute discounting."""
     once = F.count(F.when(F.col("n") == 1, 1))
     found = rows.agg(once.alias("a"), F.count(F.when(F.col("n") == 2, 1)).alias("b")).first()
-    return min(0.95, max(0.05, (found.a + 1) / (found.a + 2 * found.b + 2)))
+    return absolute_discount(found.a, found.b)
+
+
+def absolute_discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, (once + 1) / (once + 2 * twice + 2)))
 
 
 def gibbs(
@@ -218,146 +179,410 @@ def _seater(load, sweep: int, discount: float, strength: float):
     return reseat
 
 
-def rare_tokens(
-    counts: DataFrame, classes: dict[int, int], samples: int, strength: float
-) -> tuple[DataFrame, float]:
-    """(h, n, log_p) of all tokens, the probability being that within the class of all tokens not
-    in ``classes``; and that of a token never seen.
+class Levels(NamedTuple):
+    """Counts that tokens of the last class have, in order, and the probability within it of a token of
+    each count; count 0 is that of a token never seen."""
 
-    One restaurant over all such tokens, on an even base over their types and one more. Its seating
-    is spread over tasks by token: each sweep takes the number of tables of the last one.
-    """
-    frequent = F.col("h").isin(list(classes)) if classes else F.lit(False)
-    rare = counts.filter(~frequent)
-    totals = rare.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    types, n_all = totals.v, totals.n or 0
-    base = 1 / (types + 1)
-    discount = discount_of(rare)
+    counts: np.ndarray
+    shares: np.ndarray
+
+    def of(self, n: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.counts, n)
+        return self.shares[np.minimum(at, len(self.counts) - 1)]
 
-    def seated(n: np.ndarray, h: np.ndarray, sweep: int, tables: float) -> np.ndarray:
-        rng = np.random.default_rng([sweep, int(h[0]) & 0xFFFFFFFF]) if len(h) else None
-        even = np.full(len(n), base)
-        return seat(n, even, discount, strength, rng, None, tables)
 
-    def counting(sweep: int, tables: float):
-        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def rare_levels(levels: DataFrame, samples: int, strength: float) -> Levels:
+    """``levels`` (n, m): there are m tokens of count n. One restaurant over all of them, on an even base
+    over their types and one more, so that tokens of equal count are alike and share the mean of
+    their tables. Its seating is spread over tasks: each sweep takes the number of tables of the
+    last one.
+    """
+    n, m = F.col("n"), F.col("m")
+    found = levels.agg(
+        F.sum(m).alias("types"),
+        F.sum(n * m).alias("n"),
+        F.sum(F.when(n == 1, m)).alias("a"),
+        F.sum(F.when(n == 2, m)).alias("b"),
+    ).first()
+    types, n_all, once = found.types or 0, found.n or 0, found.a or 0
+    base = 1 / (types + 1)
+    discount = absolute_discount(once, found.b or 0)
+    cuts = F.explode(F.sequence(F.lit(0), F.floor((m - 1) / SLICE).cast("int"))).alias("cut")
+    many = levels.filter("n > 1").select("n", "m", cuts)
+    many = many.withColumn("m", F.least(F.lit(SLICE), m - F.col("cut") * SLICE))
+    many = many.repartition(TASKS, "n", "cut")
+
+    def seating(sweep: int, draws: int, tables: float):
+        def seated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                t = seated(batch.n.to_numpy(), batch.h.to_numpy(), sweep, tables)
-                yield pd.DataFrame({"t": [int(t.sum())]})
+                batch = batch.sort_values(["n", "cut"])
+                for _, x in batch.groupby(batch.m.cumsum() // AT_ONCE):
+                    rng = np.random.default_rng([sweep, int(x.n.iloc[0]), int(x.cut.iloc[0])])
+                    counts, m = x.n.to_numpy(), x.m.to_numpy()
+                    each = np.repeat(counts, m)
+                    even = np.full(len(each), base)
+                    t = sum(seat(each, even, discount, strength, rng, None, tables) for _ in range(draws))
+                    yield pd.DataFrame({"n": counts, "t": np.add.reduceat(t, np.cumsum(m) - m)})
 
-        return count
+        return many.mapInPandas(seated, "n long, t long")
 
     tables = float(types)
     for sweep in range(2):
-        seats = rare.mapInPandas(counting(sweep, tables), "t long")
-        tables = float(seats.agg(F.sum("t").alias("t")).first().t or 0)
+        tables = once + float(seating(sweep, 1, tables).agg(F.sum("t").alias("t")).first().t or 0)
     left = (strength + discount * tables) * base / (n_all + strength)
+    seats = seating(2, samples, tables).groupBy("n").agg(F.sum("t").alias("t"))
+    rows = levels.join(seats, "n", "left").toPandas().sort_values("n")  # a row for each count
+    counts, m = rows.n.to_numpy(np.int64), rows.m.to_numpy(np.int64)
+    mean = np.where(counts > 1, rows.t.fillna(0).to_numpy(float) / samples / np.maximum(m, 1), 1.0)
+    kept = np.maximum(counts - discount * mean, 0) / (n_all + strength)
+    return Levels(np.append(0, counts), np.append(0.0, kept) + left)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n, h = batch.n.to_numpy(), batch.h.to_numpy()
-            mean = np.mean([seated(n, h, 2 + s, tables) for s in range(samples)], axis=0)
-            kept = np.maximum(n - discount * mean, 0) / (n_all + strength)
-            yield pd.DataFrame({"h": h, "n": n, "log_p": np.log10(kept + left)})
 
-    table = rare.mapInPandas(score, "h long, n long, log_p double")
-    whole = table.union(counts.filter(frequent).withColumn("log_p", F.lit(0.0)))
-    return stored(whole), math.log10(left)
+def levels_of(counts: DataFrame) -> DataFrame:
+    return stored(counts.groupBy("n").agg(F.count("*").alias("m")))
+
+
+def rare_tokens(
+    counts: DataFrame, classes: dict[int, int], samples: int, strength: float
+) -> tuple[DataFrame, float]:
+    """(h, n, log_p) of all tokens, the probability being that within the class of all tokens not
+    in ``classes``; and that of a token never seen."""
+    rare = not_in(counts, classes)
+    found = rare_levels(levels_of(rare), samples, strength)
+    log_p = pa.table({"n": found.counts, "log_p": np.log10(found.shares)})
+    table = rare.join(F.broadcast(counts.sparkSession.createDataFrame(log_p)), "n").select(
+        "h", "n", "log_p"
+    )
+    whole = table.union(counts.join(rare, "h", "anti").withColumn("log_p", F.lit(0.0)))
+    return stored(whole), math.log10(found.shares[0])
+
 
+def not_in(counts: DataFrame, classes: dict[int, int]) -> DataFrame:
+    return counts.filter(~F.col("h").isin(list(classes))) if classes else counts
 
-def looked_up(rows: DataFrame, key: str, table: DataFrame, most: int, **named: str) -> DataFrame:
-    """``rows`` with columns of ``table`` by the hash in ``key``: the ``most`` frequent tokens travel
-    to the rows, so only rows of other tokens are shuffled."""
-    def values(part: DataFrame) -> DataFrame:
-        return part.select(F.col("h").alias(key), *(F.col(c).alias(x) for x, c in named.items()))
 
-    near = rows.join(F.broadcast(values(most_frequent(table, most))), key, "left")
-    first = next(iter(named))
-    far = near.filter(F.col(first).isNull()).drop(*named).join(values(table), key)
-    found = near.filter(F.col(first).isNotNull())
-    return found.unionByName(far)
+class Sizes(NamedTuple):
+    """Tokens with numbers, of which the first are classes of their own."""
 
+    known: int
+    classes: int
 
-def seated_pairs(
-    pairs: DataFrame,
-    table: DataFrame,
-    probabilities: np.ndarray,
-    discount: float,
-    strength: float,
-    sweep: int,
-    samples: int,
-    most: int,
-) -> DataFrame:
-    """(u, w, n, t): tables of every pair, the mean of ``samples`` draws, under the probabilities
-    of classes and the columns log_p, class and tables (of the last sweep) of ``table``. Rows are
-    seated wherever they are, as the number of tables of their restaurant is given. A single
-    customer has a single table."""
-    load = shared(pairs.sparkSession, probabilities)
+    @property
+    def whole(self) -> int:
+        return (self.classes + 1) ** 2 + 2 * self.known + 2
+
+
+class Sums(NamedTuple):
+    """Sums over pairs: by their classes, by first and by second token with a number; and how many pairs
+    occur once and twice. All are bounded by the parameters."""
+
+    cells: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    twice: np.ndarray
+
+
+def add(total: np.ndarray, size: Sizes, u, w, by_class, by_token) -> None:
+    c = size.classes + 1
+    at = place(u, size.classes) * c + place(w, size.classes)
+    square, k = c * c, size.known
+    total[:square] += np.bincount(at, by_class, square).astype(np.int64)
+    for start, codes in ((square, u), (square + k, w)):
+        total[start : start + k] += np.bincount(place(codes, k), by_token, k + 1)[:k].astype(np.int64)
+
+
+def slices(total: np.ndarray) -> pd.DataFrame:
+    cut = [x for x in np.array_split(total, TASKS) if len(x)]
+    rows = [(i, len(x), pack(x)) for i, x in enumerate(cut)]
+    return pd.DataFrame(rows, columns=["slice", "width", "sums"])
+
+
+SLICES = "slice int, width long, sums binary"
+
+
+def collected(parts: DataFrame, size: Sizes) -> Sums:
+    """Sums of tasks, added slice by slice."""
+
+    def added(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(unpack(x.sums, x.width) for x in group.itertuples())
+        return pd.DataFrame([(key[0], len(total), pack(total))], columns=["slice", "width", "sums"])
+
+    rows = parts.groupBy("slice").applyInPandas(added, SLICES).collect()
+    total = np.zeros(size.whole, np.int64)
+    if rows:
+        total = np.concatenate([unpack(r.sums, r.width) for r in sorted(rows, key=lambda r: r.slice)])
+    c, k = size.classes + 1, size.known
+    cells, first, second, twice = np.split(total, [c * c, c * c + k, c * c + 2 * k])
+    return Sums(cells.reshape(c, c), first, second, twice)
+
+
+def counted_here(kind: int, u: np.ndarray, size: Sizes) -> np.ndarray:
+    """Which pairs of a block count: those of two tokens without numbers are in two blocks."""
+    return place(u, size.known) < size.known if kind == BY_SECOND else np.ones(len(u), bool)
+
+
+def first_sums(blocks: DataFrame, size: Sizes) -> DataFrame:
+    """Occurrences by class, and distinct pairs by token."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size.whole, np.int64)
+        for batch in batches:
+            for row in batch.itertuples():
+                u, w, n = unpacked(row, ("u", "w", "n"))
+                here = counted_here(row.kind, u, size) & (n > 0)
+                u, w, n = u[here], w[here], n[here]
+                add(total, size, u, w, n, n > 0)
+                total[-2:] += (n == 1).sum(), (n == 2).sum()
+        yield slices(total)
+
+    return pairs_in(blocks).mapInPandas(count, SLICES)
+
+
+def pairs_in(blocks: DataFrame) -> DataFrame:
+    return blocks.filter(F.col("kind") != TEXTS).select("kind", "part", "pairs", "u", "w", "n")
+
+
+class Parents(NamedTuple):
+    """What a sweep knows. ``probabilities``: of a class after another. ``shares``, ``tables``,
+    ``customers``: of tokens with numbers, the probability within its class, and the restaurant it
+    is the context of. ``levels``: shares of other tokens."""
+
+    size: Sizes
+    probabilities: np.ndarray
+    shares: np.ndarray
+    tables: np.ndarray
+    customers: np.ndarray
+    levels: Levels
+    discount: float
+    strength: float
+
+    def parent(self, u: np.ndarray, w: np.ndarray, served: np.ndarray | None = None) -> np.ndarray:
+        """``served``: customers of ``w`` in the restaurant of the last class, if it has no number."""
+        at = place(w, self.size.known)
+        share = np.append(self.shares, 0)[at]
+        if served is not None:
+            share = np.where(at < self.size.known, share, self.levels.of(served))
+        c = self.size.classes
+        return self.probabilities[place(u, c), place(w, c)] * share
+
+    def of_first(self, u: np.ndarray, values: np.ndarray, others: np.ndarray) -> np.ndarray:
+        at = place(u, self.size.known)
+        return np.where(at < self.size.known, np.append(values, 0)[at], others)
+
+    def seats(self, n, parent, tables, rng: np.random.Generator, samples: int) -> np.ndarray:
+        """Tables of pairs, summed over ``samples`` draws. A single customer has a single table."""
+        t = samples * (n > 0)
+        many = np.flatnonzero(n > 1)
+        n, parent, tables = n[many], parent[many], tables[many].astype(float)
+        draws = (seat(n, parent, self.discount, self.strength, rng, None, tables) for _ in range(samples))
+        t[many] = sum(draws)
+        return t
+
+    def score(self, u, w, n, t, parent, customers, tables) -> np.ndarray:
+        """Logarithm of the probability of ``w`` in the restaurant of ``u``."""
+        own = np.maximum(n - self.discount * t, 0)
+        left = (self.strength + self.discount * tables) * parent
+        return np.log10((own + left) / (customers + self.strength))
+
+    def seats_known(self, row, sweep: int, samples: int) -> tuple[np.ndarray, ...]:
+        u, w, n = unpacked(row, ("u", "w", "n"))
+        parent, rng = self.parent(u, w), np.random.default_rng([sweep, row.part])
+        return u, w, n, parent, self.seats(n, parent, self.tables[u], rng, samples)
+
+
+def block_seats(blocks: DataFrame, parents: Parents, sweep: int, samples: int) -> DataFrame:
+    """Sums of the tables of pairs with numbers, and of all pairs that occur once."""
+    load, size = shared(blocks.sparkSession, parents), parents.size
+
+    def reseat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, total = load(), np.zeros(size.whole, np.int64)
+        for batch in batches:
+            for row in batch.itertuples():
+                if row.kind == KNOWN:
+                    u, w, _, _, t = known.seats_known(row, sweep, samples)
+                else:
+                    u, w, n = unpacked(row, ("u", "w", "n"))
+                    here = counted_here(row.kind, u, size) & (n == 1)
+                    u, w, t = u[here], w[here], np.full(here.sum(), samples)
+                add(total, size, u, w, t, t)
+        yield slices(total)
+
+    return pairs_in(blocks).mapInPandas(reseat, SLICES)
+
+
+def frequent_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs that occur more than once and have a token without a number: u, w, n; of each such token
+    the part it is in (else -1), its types of neighbours or its occurrences, and the pairs in which
+    it occurs once."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                u, w, n = unpacked(row, ("u", "w", "n"))
+                first = row.kind == BY_FIRST
+                _, token = np.unique(u if first else w, return_inverse=True)
+                whole = np.bincount(token, n > 0 if first else n).astype(np.int64)
+                once = np.bincount(token, n == 1).astype(np.int64)
+                here = n > 1
+                own = {"part": row.part, "whole": whole[token][here], "once": once[token][here]}
+                other = {"part": -1, "whole": 0, "once": 0}
+                sides = {1: own if first else other, 2: other if first else own}
+                named = {f"{x}{i}": v for i, side in sides.items() for x, v in side.items()}
+                yield pd.DataFrame({"u": u[here], "w": w[here], "n": n[here], **named})
+
+    names = [f"{x}{i}" for i in (1, 2) for x in ("part", "whole", "once")]
+    schema = "u long, w long, n long, " + ", ".join(f"{x} long" for x in names)
+    sides = pairs_in(blocks).filter(F.col("kind") != KNOWN).mapInPandas(rows, schema)
+    return stored(sides.groupBy("u", "w").agg(*(F.max(x).alias(x) for x in ["n", *names])))
+
+
+def reseated(rows: DataFrame, parents: Parents, sweep: int, samples: int) -> DataFrame:
+    """``rows`` (u, w, n, tables, served) with t, the sum of their tables over ``samples`` draws."""
+    load = shared(rows.sparkSession, parents)
 
     def reseat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = load()
-        for rows in batches:
-            if not len(rows):
+        for x in batches:
+            if not len(x):
                 continue
-            rng = np.random.default_rng([sweep, *(int(rows[c].iloc[0]) & 0xFFFFFFFF for c in "uw")])
-            parent = known[rows.cu, rows.cw] * 10 ** rows.log_p.to_numpy()
-            n, tables = rows.n.to_numpy(), rows.tables.to_numpy()
-            draws = [seat(n, parent, discount, strength, rng, None, tables) for _ in range(samples)]
-            yield rows[["u", "w", "n"]].assign(t=np.mean(draws, axis=0))
-
-    many = looked_up(pairs.filter("n > 1"), "w", table, most, log_p="log_p", cw="class")
-    many = looked_up(many, "u", table, most, tables="tables", cu="class")
-    seats = many.mapInPandas(reseat, "u long, w long, n long, t double")
-    return stored(seats.union(pairs.filter("n = 1").withColumn("t", F.lit(1.0))))
-
-
-def pair_gains(
-    seats: DataFrame,
-    table: DataFrame,
-    probabilities: np.ndarray,
-    discount: float,
-    strength: float,
-    most: int,
-) -> DataFrame:
-    """(key, n, gain) of every pair: the logarithm of its probability over what its restaurant
-    leaves to the parent for it."""
-    load = shared(seats.sparkSession, probabilities)
+            u, w, n, tables, served = (x[c].to_numpy() for c in ("u", "w", "n", "tables", "served"))
+            rng = np.random.default_rng([sweep, int(u[0]) & 0xFFFFFFFF, int(w[0]) & 0xFFFFFFFF])
+            tables = known.of_first(u, known.tables, tables)
+            yield x.assign(t=known.seats(n, known.parent(u, w, served), tables, rng, samples))
 
-    def gain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = load()
+    fields = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns]
+    return stored(rows.mapInPandas(reseat, ", ".join([*fields, "t long"])))
+
+
+def row_sums(rows: DataFrame, size: Sizes) -> DataFrame:
+    """Sums of the tables of single pairs (u, w, t)."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size.whole, np.int64)
         for x in batches:
-            parent = known[x.cu, x.cw] * 10 ** x.log_p.to_numpy()
-            own = np.maximum(x.n - discount * x.t, 0).to_numpy()
-            more = np.log10(1 + own / ((strength + discount * x.tables.to_numpy()) * parent))
-            keys = pair_keys(x.u.to_numpy(), x.w.to_numpy())
-            yield pd.DataFrame({"key": keys, "n": x.n, "gain": more})
+            t = x.t.to_numpy()
+            add(total, size, x.u.to_numpy(), x.w.to_numpy(), t, t)
+        yield slices(total)
+
+    return rows.select("u", "w", "t").mapInPandas(count, SLICES)
+
+
+def single_levels(blocks: DataFrame) -> DataFrame:
+    """(n, m): m tokens without numbers follow n others, and each of these once."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                w, n = unpacked(row, ("w", "n"))
+                _, token = np.unique(w, return_inverse=True)
+                total, once = np.bincount(token, n), np.bincount(token, n == 1)
+                levels, m = np.unique(once[(once == total) & (once > 0)], return_counts=True)
+                yield pd.DataFrame({"n": levels.astype(np.int64), "m": m})
+
+    sides = pairs_in(blocks).filter(F.col("kind") == BY_SECOND)
+    return sides.mapInPandas(count, "n long, m long")
+
+
+def doubly_rare(blocks: DataFrame, size: Sizes, parts: int) -> DataFrame:
+    """(part, u, w, once) of pairs of two tokens without numbers: the part of the first, and the pairs in
+    which the second occurs once."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                u, w, n = unpacked(row, ("u", "w", "n"))
+                _, token = np.unique(w, return_inverse=True)
+                once = np.bincount(token, n == 1).astype(np.int64)[token]
+                here = ~counted_here(row.kind, u, size)
+                u, w, once = u[here], w[here], once[here]
+                yield pd.DataFrame({"part": part_of(u, parts), "u": u, "w": w, "once": once})
+
+    sides = pairs_in(blocks).filter(F.col("kind") == BY_SECOND)
+    return sides.mapInPandas(rows, "part int, u long, w long, once long")
 
-    rows = looked_up(seats, "w", table, most, log_p="log_p", cw="class")
-    rows = looked_up(rows, "u", table, most, tables="tables", cu="class")
-    return stored(rows.mapInPandas(gain, "key long, n long, gain double"))
 
+SCORES = "row long, score double, base double, known long"
 
-def shared_classes(spark: SparkSession, classes: dict[int, int]) -> DataFrame:
-    return spark.createDataFrame(list(classes.items()), "h long, class int")
 
+def by_text(block_at, spread, times, *values) -> list[np.ndarray]:
+    """Texts, and the sums of the values of the pairs they hold."""
+    texts, number = np.unique(block_at, return_inverse=True)
+    return [texts, *(np.bincount(number, times * np.repeat(x, spread), len(texts)) for x in values)]
 
-def tables_of(seats: DataFrame) -> DataFrame:
-    """(u, tables): tables of every restaurant."""
-    return seats.groupBy("u").agg(F.sum("t").alias("tables"))
 
+def known_scores(blocks: DataFrame, parents: Parents, sweep: int, samples: int, last: Parents) -> DataFrame:
+    """Scores of the pairs with numbers, by text: the seats of the sweep are drawn again."""
+    load = shared(blocks.sparkSession, (parents, last))
 
-def dishes(
-    table: DataFrame, counts: DataFrame, restaurants: DataFrame, classes: dict[int, int]
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        then, now = load()
+        held, n = [], 0
+        for batch in batches:
+            for row in batch.itertuples():
+                u, w, c, parent, t = then.seats_known(row, sweep, samples)
+                spread, at, times = unpacked(row, ("spread", "at", "times"))
+                x = now.score(u, w, c, t / samples, parent, now.customers[u], now.tables[u])
+                held.append(by_text(at, spread, times, x))
+                n += len(held[-1][0])
+                if n >= AT_ONCE:
+                    held = [summed(held)]
+                    n = len(held[0][0])
+                if n >= AT_ONCE:
+                    yield scores(*held[0])
+                    held, n = [], 0
+        if held:
+            yield scores(*summed(held))
+
+    def summed(held: list) -> list[np.ndarray]:
+        texts, number = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        return [texts, np.bincount(number, np.concatenate([x for _, x in held]), len(texts))]
+
+    return blocks.filter(F.col("kind") == KNOWN).drop("row").mapInPandas(score, SCORES)
+
+
+def scores(texts, score, base=0.0, known=0) -> pd.DataFrame:
+    known = np.asarray(known).astype(np.int64)
+    return pd.DataFrame({"row": texts, "score": score, "base": base, "known": known})
+
+
+def other_scores(
+    blocks: DataFrame, replies: DataFrame, parents: Parents, samples: int, whole: float
 ) -> DataFrame:
-    """(h, n, log_p, class, tables) of every token: its count, its probability within its class,
-    and the tables of the restaurant it is the context of."""
-    numbers, last = shared_classes(counts.sparkSession, classes), F.lit(len(classes))
-    return stored(
-        counts.join(table.select("h", "log_p"), "h")
-        .join(restaurants.withColumnRenamed("u", "h"), "h")
-        .join(F.broadcast(numbers), "h", "left")
-        .select("h", "n", "log_p", F.coalesce("class", last).alias("class"), "tables")
-    )
+    """Scores, by text, of the pairs with a token that has no number. ``replies`` (kind, part, u, w, t,
+    served) gives the tables of pairs that occur more than once, and the customers of their second
+    token."""
+    load, size = shared(blocks.sparkSession, parents), parents.size
+
+    def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return scores([], [])
+        known, row = load(), next(left.itertuples())
+        u, w, n, spread, at, times = unpacked(row)
+        keys, names = pair_keys(u, w), pair_keys(right.u.to_numpy(), right.w.to_numpy())
+        order = np.argsort(keys)
+        place_of = order[np.searchsorted(keys[order], names)]
+        t, served = np.where(n == 1, samples, 0), np.zeros(len(u), np.int64)
+        given = right.t.to_numpy()
+        t[place_of[given >= 0]] = given[given >= 0]
+        np.maximum.at(served, place_of, right.served.to_numpy())
+        first = row.kind == BY_FIRST
+        _, token = np.unique(u if first else w, return_inverse=True)
+        total = np.bincount(token, n)[token]
+        if first:
+            tables = np.bincount(token, t)[token] / samples
+            x = known.score(u, w, n, t / samples, known.parent(u, w, served), total, tables)
+            return scores(*by_text(at, spread, times, x))
+        most = np.bincount(token, n == 1).astype(np.int64)
+        np.maximum.at(most, token, served)
+        code = np.where(counted_here(row.kind, u, size), u, 0)
+        parent = known.parent(code, w, most[token])
+        x = known.score(code, w, n, t / samples, parent, known.customers[code], known.tables[code])
+        x = np.where(counted_here(row.kind, u, size), x, 0.0)
+        return scores(*by_text(at, spread, times, x, np.log10(total + 1) - whole, total > 0))
+
+    others = blocks.filter(F.col("kind").isin(BY_FIRST, BY_SECOND))
+    both = others.groupBy("kind", "part").cogroup(replies.groupBy("kind", "part"))
+    return both.applyInPandas(score, SCORES)
 
 
 def score_texts(
@@ -381,62 +606,91 @@ def score_texts(
     the predictive probability of the text, ``base_score`` that of counts plus one; the perplexity
     is 10 ** (-score / n_tokens).
 
-    The ``most_known`` most frequent tokens and as many pairs travel to the tasks; what else a text
-    holds is joined by hash, so vocabulary and pairs may have any number. Tokens are told apart by
-    64-bit hashes.
+    The ``most_known`` most frequent tokens travel to the tasks as numbers. Pairs of them are counted,
+    seated and scored where they are; pairs with other tokens lie by these, and those that occur more
+    than once are rows, so vocabulary and pairs may have any number. Tokens are told apart by 64-bit
+    hashes. Texts are cut into tokens twice: once for the counts of tokens, once for the pairs.
 
     Null and empty texts are one end. Repeated rows each get their score; rows without doc_id count
     as doc_id of empty text. Without training rows every class is equally likely. An empty table
     gives no rows. Further columns are not read.
     """
     spark = docs.sparkSession
-    seen = docs.filter(~held_out(MODULUS))
-    counts = stored(token_counts(seen))
+    docs = docs.select("doc_id", held_out(MODULUS).alias("held_out"), "text")
+    counts = stored(token_counts(docs.filter("not held_out")))
     totals = counts.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
     n_tokens, n_types = totals.n or 0, totals.v
     top = counts.orderBy(F.desc("n"), "h").limit(n_classes).collect()
     frequent = [word_hash(END), *(r.h for r in top if r.h != word_hash(END))][:n_classes]
     classes = {h: i for i, h in enumerate(frequent)}
-    size = len(classes) + 1
-    pairs = stored(word_pairs(seen))
-    discount = discount_of(pairs)
-    probabilities = gibbs(pair_counts(seen, classes), size, burn_in, samples, strength)
-    table, _ = rare_tokens(counts, classes, samples, strength)
-    types = pairs.groupBy("u").agg(F.count("*").cast("double").alias("tables"))
-    table = dishes(table, counts, types, classes)
-    seats = seated_pairs(pairs, table, probabilities, discount, strength, 0, 1, most_known)
+    most = most_frequent(counts, most_known).union(counts.filter(F.col("h") == word_hash(END)))
+    found = {r.h: r.n for r in [*top, *most.toLocalIterator()]}
+    known = [*frequent, *sorted(found.keys() - classes.keys(), key=lambda h: (-found[h], h))]
+    n_known = np.array([found.get(h, 0) for h in known], np.int64)
+    whole = math.log10(n_tokens + n_types + 1)
+    size, parts = Sizes(len(known), len(classes)), n_tokens // PAIRS_IN_BLOCK + 1
+    vocabulary = Vocabulary({h: i for i, h in enumerate(known)}, n_known, whole)
+    blocks = pair_blocks(docs, vocabulary, parts)
+
+    def parents_of(cells, served, levels, tables) -> Parents:
+        probabilities = gibbs(class_pairs(spark, cells), len(classes) + 1, burn_in, samples, strength)
+        shares = np.where(np.arange(size.known) < size.classes, 1.0, levels.of(served))
+        return Parents(size, probabilities, shares, tables, n_known, levels, discount, strength)
+
+    pairs = collected(first_sums(blocks, size), size)
+    discount = absolute_discount(*map(int, pairs.twice))
+    levels = rare_levels(levels_of(not_in(counts, classes)), samples, strength)
+    parents = parents_of(pairs.cells, n_known, levels, pairs.first)
+    many = frequent_pairs(blocks)
+    rows = many.withColumns({"tables": F.col("whole1").cast("double"), "served": F.col("whole2")})
+    seats = reseated(rows, parents, 0, 1).drop("tables", "served", "whole1", "whole2")
+    seated = collected(block_seats(blocks, parents, 0, 1).union(row_sums(seats, size)), size)
 
     # The parents again, from the tables below them.
-    numbers = shared_classes(spark, classes)
-    below = (
-        seats.join(F.broadcast(numbers.toDF("u", "cu")), "u", "left")
-        .join(F.broadcast(numbers.toDF("w", "cw")), "w", "left")
-        .groupBy(*(F.coalesce(c, F.lit(size - 1)).cast("long").alias(c[1]) for c in ("cu", "cw")))
-        .agg(F.sum("t").cast("long").alias("n"))
+    by_first = seats.filter("part1 >= 0").groupBy("u").agg(F.sum("t").alias("tables"))
+    by_second = seats.filter("part2 >= 0").groupBy("w")
+    by_second = by_second.agg((F.sum("t") + F.max("once2")).alias("served"))
+    second = seated.second[size.classes :]
+    levels = (
+        single_levels(blocks)
+        .union(by_second.groupBy(F.col("served").alias("n")).agg(F.count("*").alias("m")))
+        .union(spark.createDataFrame(pa.table({"n": second, "m": np.ones_like(second)})).filter("n > 0"))
     )
-    probabilities = gibbs(stored(below), size, burn_in, samples, strength)
-    served = stored(seats.groupBy(F.col("w").alias("h")).agg(F.sum("t").cast("long").alias("n")))
-    table, unknown = rare_tokens(served, classes, samples, strength)
-    table = dishes(table, counts, tables_of(seats), classes)
-    seats = seated_pairs(pairs, table, probabilities, discount, strength, 1, samples, most_known)
-    table = dishes(table, counts, tables_of(seats), classes)
-    gains = pair_gains(seats, table, probabilities, discount, strength, most_known)
-
-    left = F.log10((strength + discount * F.col("tables")) / (F.col("n") + strength))
-    table = stored(table.select("h", "n", (F.col("log_p") + left).alias("log_p")))
-    known = most_frequent(table, most_known)
-    near = sorted((r.key, r.gain) for r in most_frequent(gains, most_known).toLocalIterator())
-    model = Model(
-        classes,
-        np.log10(probabilities),
-        {r.h: (r.n, r.log_p) for r in known.toLocalIterator()},
-        np.array([k for k, _ in near], np.int64),
-        np.array([g for _, g in near], np.float64),
-        unknown,
-        n_tokens,
-        n_types,
+    levels = stored(levels.groupBy("n").agg(F.sum("m").alias("m")))
+    levels = rare_levels(levels, samples, strength)
+    parents = parents_of(seated.cells, seated.second, levels, seated.first)
+    rows = seats.drop("t").join(by_first, "u", "left").join(by_second, "w", "left")
+    tables = (F.coalesce("tables", F.lit(0)) + F.col("once1")).cast("double")
+    rows = rows.withColumns({"tables": tables, "served": F.coalesce("served", F.lit(0))})
+    seats = reseated(rows, parents, 1, samples)
+    seated = block_seats(blocks, parents, 1, samples).union(row_sums(seats, size))
+    last = parents._replace(tables=collected(seated, size).first / samples)
+
+    once = doubly_rare(blocks, size, parts).join(by_second, "w", "left")
+    served = F.coalesce("served", "once").alias("served")
+    first, second = (F.lit(x).alias("kind") for x in (BY_FIRST, BY_SECOND))
+    replies = once.select(first, "part", "u", "w", F.lit(-1).cast("long").alias("t"), served)
+    for kind, part in ((first, "part1"), (second, "part2")):
+        there = seats.filter(F.col(part) >= 0)
+        replies = replies.union(
+            there.select(kind, F.col(part).cast("int").alias("part"), "u", "w", "t", "served")
+        )
+    found = known_scores(blocks, parents, 1, samples, last)
+    found = found.union(other_scores(blocks, replies, last, samples, whole))
+    found = found.groupBy("row").agg(*(F.sum(x).alias(f"{x}_of") for x in ("score", "base", "known")))
+    return (
+        blocks.filter(F.col("kind") == TEXTS)
+        .join(found, "row")
+        .select(
+            F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+            "held_out",
+            "n_tokens",
+            (F.col("n_known") + F.col("known_of")).alias("n_known"),
+            F.lit(n_tokens).cast("long").alias("train_tokens"),
+            (F.col("base") + F.col("base_of")).alias("base_score"),
+            F.col("score_of").alias("score"),
+        )
     )
-    return _scored(docs, shared(spark, model), table, gains, model)
 
 
 def most_frequent(table: DataFrame, most: int) -> DataFrame:
@@ -451,111 +705,3 @@ def most_frequent(table: DataFrame, most: int) -> DataFrame:
             break
         least = row.level
     return table.filter(F.lit(False) if least is None else level >= least)
-
-
-FIRST = (
-    "n_tokens long, n_known long, base_score double, score double,"
-    " open array<long>, times array<long>, keys array<long>, key_times array<long>"
-)
-
-
-def _scored(
-    docs: DataFrame, load, table: DataFrame, gains: DataFrame, model: Model
-) -> DataFrame:
-    whole = math.log10(model.n_tokens + model.n_types + 1)
-    complete = len(model.known) == model.n_types
-
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = load()
-        last = len(model.classes)
-
-        def look(word: bytes) -> tuple[int, int, float, float, int]:
-            h = word_hash(word)
-            n, log_p = model.known.get(h, (0, model.unknown if complete else 0.0))
-            there = n > 0
-            base = math.log10(n + 1) - whole if there or complete else 0.0
-            return model.classes.get(h, last), int(there), base, log_p, h
-
-        words, end = Cache(look), word_hash(END)
-        for texts in batches:
-            out = []
-            for text in texts:
-                said = tokens(text)
-                found = list(map(words.__getitem__, said))
-                ids = np.array([0, *(f[0] for f in found)])
-                total = float(model.pairs[ids[:-1], ids[1:]].sum()) + sum(f[3] for f in found)
-                open_ = Counter() if complete else Counter(f[4] for f in found if not f[1])
-                n_known, base = sum(f[1] for f in found), sum(f[2] for f in found)
-                hashes = np.array([end, *(f[4] for f in found)], np.int64)
-                keys, times = np.unique(pair_keys(hashes[:-1], hashes[1:]), return_counts=True)
-                if len(model.keys):
-                    at = np.minimum(np.searchsorted(model.keys, keys), len(model.keys) - 1)
-                    near = model.keys[at] == keys
-                    total += float((model.gains[at] * times)[near].sum())
-                    keys, times = keys[~near], times[~near]
-                out.append(
-                    (len(said), n_known, base, total, list(open_), list(open_.values()), keys, times)
-                )
-            names = ["n_tokens", "n_known", "base_score", "score", "open", "times", "keys", "key_times"]
-            yield pd.DataFrame(out, columns=names)
-
-    first = docs.select(
-        "doc_id",
-        held_out(MODULUS).alias("held_out"),
-        F.monotonically_increasing_id().alias("row"),
-        F.pandas_udf(score, FIRST)("text").alias("s"),
-    ).select("doc_id", "held_out", "row", "s.*")
-    first = stored(first)
-    pairs = first.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("x")).select(
-        "row", F.col("x.keys").alias("key"), F.col("x.key_times").alias("k")
-    )
-    gained = (
-        pairs.join(gains.select("key", "gain"), "key")
-        .groupBy("row")
-        .agg(F.sum(F.col("k") * F.col("gain")).alias("gained"))
-    )
-    first = (
-        first.drop("keys", "key_times")
-        .join(gained, "row", "left")
-        .withColumn("score", F.col("score") + F.coalesce("gained", F.lit(0.0)))
-        .drop("gained")
-    )
-    if not complete:
-        first = _with_rest(first, table, model.unknown, whole)
-    return first.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
-
-
-def _with_rest(first: DataFrame, table: DataFrame, unknown: float, whole: float) -> DataFrame:
-    """Scores with the tokens added that are not among the most frequent."""
-    rest = first.select("row", F.explode(F.arrays_zip("open", "times")).alias("x")).select(
-        "row", F.col("x.open").alias("h"), F.col("x.times").alias("k")
-    )
-    n = F.coalesce("n", F.lit(0))
-    added = (
-        rest.join(table, "h", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("k") * (F.log10(n + 1) - whole)).alias("more_base"),
-            F.sum(F.col("k") * F.coalesce("log_p", F.lit(unknown))).alias("more"),
-        )
-    )
-    return (
-        first.drop("open", "times")
-        .join(added, "row", "left")
-        .withColumns(
-            {
-                "n_known": F.col("n_known") + F.coalesce("more_known", F.lit(0)),
-                "base_score": F.col("base_score") + F.coalesce("more_base", F.lit(0.0)),
-                "score": F.col("score") + F.coalesce("more", F.lit(0.0)),
-            }
-        )
-    )
