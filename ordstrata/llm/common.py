@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,19 @@ def stored(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+@contextmanager
+def rows_at_once(spark: SparkSession, most: int) -> Iterator[None]:
+    """Python functions over tables that are read inside get ``most`` rows at once, as long rows would
+    fill memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Cache(dict):
     """Values of ``make`` by key; emptied when it holds ``limit`` keys, so memory stays bounded."""
 

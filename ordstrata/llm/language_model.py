@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordstrata.llm.common import shared, stored
+from ordstrata.llm.common import rows_at_once, shared, stored
 from ordstrata.llm.language_id import held_out
 from ordstrata.llm.pair_blocks import (
     BY_FIRST,
@@ -36,6 +36,7 @@ from ordstrata.llm.pair_blocks import (
 MODULUS = 7
 FLUSH = 300_000
 PAIRS_IN_BLOCK = 2_000_000
+BLOCKS_AT_ONCE = 4
 TASKS = 16  # groups of contexts that are seated side by side
 AT_ONCE = 1_000_000  # tokens that are seated at once, and sums that a task keeps
 SLICE = 100_000
@@ -69,7 +70,7 @@ def pair_counts(docs: DataFrame, classes: dict[int, int]) -> DataFrame:
     known = Vocabulary(classes, np.zeros(len(classes), np.int64), 0.0)
     blocks = pair_blocks(docs.withColumn("held_out", F.lit(False)), known, 1)
     size = Sizes(len(classes), len(classes))
-    return class_pairs(docs.sparkSession, collected(first_sums(blocks, size), size).cells)
+    return class_pairs(docs.sparkSession, first_sums(blocks, size).cells)
 
 
 def class_pairs(spark: SparkSession, cells: np.ndarray) -> DataFrame:
@@ -300,14 +301,15 @@ def slices(total: np.ndarray) -> pd.DataFrame:
 SLICES = "slice int, width long, sums binary"
 
 
-def collected(parts: DataFrame, size: Sizes) -> Sums:
+def collected(parts: DataFrame, size: Sizes, at_once: int = BLOCKS_AT_ONCE) -> Sums:
     """Sums of tasks, added slice by slice."""
 
     def added(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = sum(unpack(x.sums, x.width) for x in group.itertuples())
         return pd.DataFrame([(key[0], len(total), pack(total))], columns=["slice", "width", "sums"])
 
-    rows = parts.groupBy("slice").applyInPandas(added, SLICES).collect()
+    with rows_at_once(parts.sparkSession, at_once):
+        rows = parts.groupBy("slice").applyInPandas(added, SLICES).collect()
     total = np.zeros(size.whole, np.int64)
     if rows:
         total = np.concatenate([unpack(r.sums, r.width) for r in sorted(rows, key=lambda r: r.slice)])
@@ -316,12 +318,16 @@ def collected(parts: DataFrame, size: Sizes) -> Sums:
     return Sums(cells.reshape(c, c), first, second, twice)
 
 
+def both(one: Sums, two: Sums) -> Sums:
+    return Sums(*(a + b for a, b in zip(one, two)))
+
+
 def counted_here(kind: int, u: np.ndarray, size: Sizes) -> np.ndarray:
     """Which pairs of a block count: those of two tokens without numbers are in two blocks."""
     return place(u, size.known) < size.known if kind == BY_SECOND else np.ones(len(u), bool)
 
 
-def first_sums(blocks: DataFrame, size: Sizes) -> DataFrame:
+def first_sums(blocks: DataFrame, size: Sizes) -> Sums:
     """Occurrences by class, and distinct pairs by token."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -335,7 +341,7 @@ def first_sums(blocks: DataFrame, size: Sizes) -> DataFrame:
                 total[-2:] += (n == 1).sum(), (n == 2).sum()
         yield slices(total)
 
-    return pairs_in(blocks).mapInPandas(count, SLICES)
+    return collected(pairs_in(blocks).mapInPandas(count, SLICES), size)
 
 
 def pairs_in(blocks: DataFrame) -> DataFrame:
@@ -390,7 +396,7 @@ class Parents(NamedTuple):
         return u, w, n, parent, self.seats(n, parent, self.tables[u], rng, samples)
 
 
-def block_seats(blocks: DataFrame, parents: Parents, sweep: int, samples: int) -> DataFrame:
+def block_seats(blocks: DataFrame, parents: Parents, sweep: int, samples: int) -> Sums:
     """Sums of the tables of pairs with numbers, and of all pairs that occur once."""
     load, size = shared(blocks.sparkSession, parents), parents.size
 
@@ -407,7 +413,7 @@ def block_seats(blocks: DataFrame, parents: Parents, sweep: int, samples: int) -
                 add(total, size, u, w, t, t)
         yield slices(total)
 
-    return pairs_in(blocks).mapInPandas(reseat, SLICES)
+    return collected(pairs_in(blocks).mapInPandas(reseat, SLICES), size)
 
 
 def frequent_pairs(blocks: DataFrame) -> DataFrame:
@@ -433,7 +439,8 @@ def frequent_pairs(blocks: DataFrame) -> DataFrame:
     names = [f"{x}{i}" for i in (1, 2) for x in ("part", "whole", "once")]
     schema = "u long, w long, n long, " + ", ".join(f"{x} long" for x in names)
     sides = pairs_in(blocks).filter(F.col("kind") != KNOWN).mapInPandas(rows, schema)
-    return stored(sides.groupBy("u", "w").agg(*(F.max(x).alias(x) for x in ["n", *names])))
+    with rows_at_once(blocks.sparkSession, BLOCKS_AT_ONCE):
+        return stored(sides.groupBy("u", "w").agg(*(F.max(x).alias(x) for x in ["n", *names])))
 
 
 def reseated(rows: DataFrame, parents: Parents, sweep: int, samples: int) -> DataFrame:
@@ -454,7 +461,7 @@ def reseated(rows: DataFrame, parents: Parents, sweep: int, samples: int) -> Dat
     return stored(rows.mapInPandas(reseat, ", ".join([*fields, "t long"])))
 
 
-def row_sums(rows: DataFrame, size: Sizes) -> DataFrame:
+def row_sums(rows: DataFrame, size: Sizes) -> Sums:
     """Sums of the tables of single pairs (u, w, t)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -464,7 +471,7 @@ def row_sums(rows: DataFrame, size: Sizes) -> DataFrame:
             add(total, size, x.u.to_numpy(), x.w.to_numpy(), t, t)
         yield slices(total)
 
-    return rows.select("u", "w", "t").mapInPandas(count, SLICES)
+    return collected(rows.select("u", "w", "t").mapInPandas(count, SLICES), size, 10_000)
 
 
 def single_levels(blocks: DataFrame) -> DataFrame:
@@ -501,7 +508,8 @@ def doubly_rare(blocks: DataFrame, size: Sizes, parts: int) -> DataFrame:
     return sides.mapInPandas(rows, "part int, u long, w long, once long")
 
 
-SCORES = "row long, score double, base double, known long"
+SCORES = "range long, width long, texts binary, score binary, base binary, known binary"
+TEXTS_IN_RANGE = 13  # bits
 
 
 def by_text(block_at, spread, times, *values) -> list[np.ndarray]:
@@ -537,12 +545,37 @@ def known_scores(blocks: DataFrame, parents: Parents, sweep: int, samples: int,
         texts, number = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
         return [texts, np.bincount(number, np.concatenate([x for _, x in held]), len(texts))]
 
-    return blocks.filter(F.col("kind") == KNOWN).drop("row").mapInPandas(score, SCORES)
+    found = blocks.filter(F.col("kind") == KNOWN).drop("row").mapInPandas(score, SCORES)
+    with rows_at_once(blocks.sparkSession, BLOCKS_AT_ONCE):
+        return stored(found)
+
+
+def scores(texts: np.ndarray, *sums: np.ndarray) -> pd.DataFrame:
+    """Sums of texts as arrays, a row for each range of texts: at most one sum for each pair of a text."""
+    sums = [*(x.astype(float) for x in sums), *[np.zeros(len(texts))] * (3 - len(sums))]
+    ranges, starts = np.unique(texts >> TEXTS_IN_RANGE, return_index=True)
+    cut = [slice(a, b) for a, b in zip(starts, np.append(starts[1:], len(texts)))]
+    rows = [
+        (r, len(texts[c]), pack(texts[c]), *(pack(x[c].view(np.int64)) for x in sums))
+        for r, c in zip(ranges, cut)
+    ]
+    return pd.DataFrame(rows, columns=["range", "width", "texts", "score", "base", "known"])
+
+
+def scores_of_texts(parts: DataFrame) -> DataFrame:
+    """(row, score_of, base_of, known_of): the sums of all parts."""
 
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        texts = np.concatenate([unpack(x.texts, x.width) for x in group.itertuples()])
+        texts, number = np.unique(texts, return_inverse=True)
+        found = {"row": texts}
+        for name in ("score", "base", "known"):
+            sums = [unpack(getattr(x, name), x.width).view(float) for x in group.itertuples()]
+            found[f"{name}_of"] = np.bincount(number, np.concatenate(sums), len(texts))
+        return pd.DataFrame(found).astype({"known_of": np.int64})
 
-def scores(texts, score, base=0.0, known=0) -> pd.DataFrame:
-    known = np.asarray(known).astype(np.int64)
-    return pd.DataFrame({"row": texts, "score": score, "base": base, "known": known})
+    schema = "row long, score_of double, base_of double, known_of long"
+    return parts.groupBy("range").applyInPandas(total, schema)
 
 
 def other_scores(
@@ -555,7 +588,7 @@ def other_scores(
 
     def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return scores([], [])
+            return scores(np.zeros(0, np.int64))
         known, row = load(), next(left.itertuples())
         u, w, n, spread, at, times = unpacked(row)
         keys, names = pair_keys(u, w), pair_keys(right.u.to_numpy(), right.w.to_numpy())
@@ -581,8 +614,8 @@ def other_scores(
         return scores(*by_text(at, spread, times, x, np.log10(total + 1) - whole, total > 0))
 
     others = blocks.filter(F.col("kind").isin(BY_FIRST, BY_SECOND))
-    both = others.groupBy("kind", "part").cogroup(replies.groupBy("kind", "part"))
-    return both.applyInPandas(score, SCORES)
+    joined = others.groupBy("kind", "part").cogroup(replies.groupBy("kind", "part"))
+    return joined.applyInPandas(score, SCORES)
 
 
 def score_texts(
@@ -637,14 +670,14 @@ def score_texts(
         shares = np.where(np.arange(size.known) < size.classes, 1.0, levels.of(served))
         return Parents(size, probabilities, shares, tables, n_known, levels, discount, strength)
 
-    pairs = collected(first_sums(blocks, size), size)
+    pairs = first_sums(blocks, size)
     discount = absolute_discount(*map(int, pairs.twice))
     levels = rare_levels(levels_of(not_in(counts, classes)), samples, strength)
     parents = parents_of(pairs.cells, n_known, levels, pairs.first)
     many = frequent_pairs(blocks)
     rows = many.withColumns({"tables": F.col("whole1").cast("double"), "served": F.col("whole2")})
     seats = reseated(rows, parents, 0, 1).drop("tables", "served", "whole1", "whole2")
-    seated = collected(block_seats(blocks, parents, 0, 1).union(row_sums(seats, size)), size)
+    seated = both(block_seats(blocks, parents, 0, 1), row_sums(seats, size))
 
     # The parents again, from the tables below them.
     by_first = seats.filter("part1 >= 0").groupBy("u").agg(F.sum("t").alias("tables"))
@@ -663,8 +696,8 @@ def score_texts(
     tables = (F.coalesce("tables", F.lit(0)) + F.col("once1")).cast("double")
     rows = rows.withColumns({"tables": tables, "served": F.coalesce("served", F.lit(0))})
     seats = reseated(rows, parents, 1, samples)
-    seated = block_seats(blocks, parents, 1, samples).union(row_sums(seats, size))
-    last = parents._replace(tables=collected(seated, size).first / samples)
+    seated = both(block_seats(blocks, parents, 1, samples), row_sums(seats, size))
+    last = parents._replace(tables=seated.first / samples)
 
     once = doubly_rare(blocks, size, parts).join(by_second, "w", "left")
     served = F.coalesce("served", "once").alias("served")
@@ -677,10 +710,9 @@ def score_texts(
         )
     found = known_scores(blocks, parents, 1, samples, last)
     found = found.union(other_scores(blocks, replies, last, samples, whole))
-    found = found.groupBy("row").agg(*(F.sum(x).alias(f"{x}_of") for x in ("score", "base", "known")))
     return (
         blocks.filter(F.col("kind") == TEXTS)
-        .join(found, "row")
+        .join(scores_of_texts(found), "row")
         .select(
             F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
             "held_out",

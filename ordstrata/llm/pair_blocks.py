@@ -111,20 +111,24 @@ def pairs_of(codes: np.ndarray, end: int, lengths: np.ndarray, trained: np.ndarr
 
 def picked(block: Block, groups: np.ndarray) -> Iterator[tuple[int, Block]]:
     """The block cut by the group of each pair; pairs of group -1 are left out."""
-    order = np.argsort(groups, kind="stable")
+    there = np.flatnonzero(groups >= 0)
+    found = groups[there].astype(np.min_scalar_type(groups.max(initial=0)))  # few bits sort faster
     of_text = np.repeat(groups, block.spread)
-    texts = np.argsort(of_text, kind="stable")
-    found = np.unique(groups[groups >= 0])
-    pairs = (np.searchsorted(groups[order], found, side=s) for s in ("left", "right"))
-    held = (np.searchsorted(of_text[texts], found, side=s) for s in ("left", "right"))
-    for group, a, b, c, d in zip(found, *pairs, *held):
-        here, there = order[a:b], texts[c:d]
-        yield int(group), Block(*(x[here] for x in block[:4]), *(x[there] for x in block[4:]))
+    texts = np.flatnonzero(of_text >= 0)
+    of_text = of_text[texts].astype(found.dtype)
+    pairs, held = np.argsort(found, kind="stable"), np.argsort(of_text, kind="stable")
+    of_pairs, of_held = (np.cumsum(np.bincount(x)) for x in (found, of_text))
+    block = Block(*(x[there[pairs]] for x in block[:4]), *(x[texts[held]] for x in block[4:]))
+    for group in np.unique(found):
+        a, c = (x[group - 1] if group else 0 for x in (of_pairs, of_held))
+        b, d = of_pairs[group], of_held[group]
+        yield int(group), Block(*(x[a:b] for x in block[:4]), *(x[c:d] for x in block[4:]))
 
 
 def merged(blocks: list[Block]) -> Block:
     u, w, n, spread, at, times = (np.concatenate(x) for x in zip(*blocks))
-    order = np.lexsort((w, u))
+    small = min(u.min(), w.min()) >= 0 and max(u.max(), w.max()) < 2**31
+    order = np.argsort((u << 32) + w, kind="stable") if small else np.lexsort((w, u))
     new = np.append(True, (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1]))
     starts = np.flatnonzero(new)
     number = np.empty(len(u), np.int64)
